@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.catalog.registry import DATE, D, M, MD, PCT, TS, Inputs, query, using
+from ledgerline.catalog.registry import DATE, D, M, MD, PCT, R2, TS, Inputs, query, using
 from ledgerline.operators.merge import insert_missing, update_where, upsert
 from ledgerline.operators.quality import check_summary, expect, expectation_counts, layer_counts, run_checks
 from ledgerline.plans import anomalies, daily, dims, facts, gold
@@ -257,7 +257,7 @@ ref AS (SELECT a.*, (SELECT CAST(SUM(b.v) AS DOUBLE) / COUNT(b.v) FROM per b
 hit AS (SELECT *, CAST(v AS DOUBLE) AS x FROM ref WHERE base > 0 AND CAST(v AS DOUBLE) > base * 1.25)
 SELECT md5(concat_ws('|', CAST(d AS VARCHAR), {k}, '{kind}')) AS anomaly_id, {DATE('d')} AS detection_date, {k}{', ' + carry if carry else ''},
        '{kind}' AS anomaly_type, '{metric}' AS metric, base AS baseline_value, x AS actual_value,
-       ROUND((x - base) / base * 100, 2) AS deviation_percentage,
+       {R2('(x - base) / base * 100')} AS deviation_percentage,
        CASE WHEN x > base * 2 THEN 'Critical' WHEN x > base * 1.5 THEN 'High' ELSE 'Medium' END AS severity, 'Open' AS status
 FROM hit"""
 
@@ -297,7 +297,7 @@ ref AS (SELECT {k}, CAST(SUM(r) AS DOUBLE) / COUNT(r) AS base FROM per GROUP BY
 hit AS (SELECT per.*, base, CAST(v AS DOUBLE) AS x FROM per JOIN ref USING ({k}) WHERE base > 0 AND CAST(v AS DOUBLE) > base * 1.25)
 SELECT md5(concat_ws('|', CAST(d AS VARCHAR), {k}, '{kind}')) AS anomaly_id, {DATE('d')} AS detection_date, {k},
        '{kind}' AS anomaly_type, '{metric}' AS metric, base AS baseline_value, x AS actual_value,
-       ROUND((x - base) / base * 100, 2) AS deviation_percentage,
+       {R2('(x - base) / base * 100')} AS deviation_percentage,
        CASE WHEN x > base * 2 THEN 'Critical' WHEN x > base * 1.5 THEN 'High' ELSE 'Medium' END AS severity, 'Open' AS status
 FROM hit"""
 

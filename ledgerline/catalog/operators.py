@@ -44,10 +44,10 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("bound_parameters", """
-SELECT c_custkey, c_name, ROUND(c_acctbal / 1000, 4) AS balance_k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal >= 5000""")
+SELECT c_custkey, c_name, c_acctbal / 1000 AS balance_k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal >= 5000""")
 def _(i: Inputs) -> DataFrame:
     return i.spark.sql(
-        "SELECT c_custkey, c_name, round(c_acctbal / 1000, 4) AS balance_k FROM {c} WHERE c_mktsegment = :segment AND c_acctbal >= :least",
+        "SELECT c_custkey, c_name, c_acctbal / 1000 AS balance_k FROM {c} WHERE c_mktsegment = :segment AND c_acctbal >= :least",
         args={"segment": "BUILDING", "least": 5000}, c=i.table("customer"),
     )
 
@@ -336,7 +336,7 @@ def _centres(i: Inputs) -> DataFrame:
 @query("topk_similarity", f"""
 WITH {_CENTRES}
 SELECT CAST(centre AS BIGINT) AS centre, vec_id, ROUND(s, 5) AS score, ROW_NUMBER() OVER w AS rank
-FROM scored QUALIFY rank <= 5 WINDOW w AS (PARTITION BY centre ORDER BY s DESC, vec_id)""")
+FROM scored WINDOW w AS (PARTITION BY centre ORDER BY s DESC, vec_id) QUALIFY rank <= 5""")
 def _(i: Inputs) -> DataFrame:
     out = topk_cosine(_centres(i), i.table("embeddings"), 5, query_id="centre", base_id="vec_id")
     return out.withColumn("score", F.round("score", 5))
@@ -345,7 +345,7 @@ def _(i: Inputs) -> DataFrame:
 @query("topk_filtered", f"""
 WITH {_CENTRES}
 SELECT CAST(centre AS BIGINT) AS centre, vec_id, ROUND(s, 5) AS score, ROW_NUMBER() OVER w AS rank
-FROM scored WHERE label IN (1, 2, 3) QUALIFY rank <= 10 WINDOW w AS (PARTITION BY centre ORDER BY s DESC, vec_id)""")
+FROM scored WHERE label IN (1, 2, 3) WINDOW w AS (PARTITION BY centre ORDER BY s DESC, vec_id) QUALIFY rank <= 10""")
 def _(i: Inputs) -> DataFrame:
     out = topk_cosine(_centres(i), i.table("embeddings"), 10, query_id="centre", base_id="vec_id",
                       condition=F.col("label").isin(1, 2, 3))

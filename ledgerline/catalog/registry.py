@@ -113,9 +113,15 @@ def TS(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+def R2(x: str) -> str:
+    """Round a double to two digits by its decimal digits."""
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,10)), 2) AS DOUBLE)"
+
+
 def PCT(cur: str, prev: str) -> str:
     """Percent change of two columns."""
-    return f"CASE WHEN {prev} > 0 THEN ROUND((CAST({cur} AS DOUBLE) - {prev}) / CAST({prev} AS DOUBLE) * 100, 2) END"
+    change = R2(f"(CAST({cur} AS DOUBLE) - {prev}) / CAST({prev} AS DOUBLE) * 100")
+    return f"CASE WHEN {prev} > 0 THEN {change} END"
 
 
 _WORKSPACE = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.catalog.registry import AS_OF, DATE, D, M, MD, PCT, TS, Inputs, query, using
+from ledgerline.catalog.registry import AS_OF, DATE, R2, D, M, MD, PCT, TS, Inputs, query, using
 from ledgerline.functions.calc import mask_email
 from ledgerline.plans import anomalies, gold, governance, monitoring, serving
 
@@ -60,7 +60,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("cost_by_sku", using("cost") + f"""
-SELECT sku, {SUMS}, ROUND({MD('SUM(estimated_cost)')} * 100 / (SELECT CAST(SUM(estimated_cost) AS DOUBLE) FROM cost), 2) AS cost_pct
+SELECT sku, {SUMS}, {R2(MD('SUM(estimated_cost)') + ' / (SELECT CAST(SUM(estimated_cost) AS DOUBLE) FROM cost) * 100')} AS cost_pct
 FROM cost GROUP BY sku""")
 def _(i: Inputs) -> DataFrame:
     return serving.cost_by_sku(gold.sku_daily(i.cost()))
@@ -130,8 +130,8 @@ def _compare_sql() -> str:
     values = {
         "cost": D("SUM(estimated_cost)"), "usage": D("SUM(usage_quantity)"), "users": D("COUNT(DISTINCT user_id)"),
         "jobs": D("COUNT(DISTINCT job_id)"),
-        "cost_per_user": f"ROUND({D('SUM(estimated_cost)')} / COUNT(DISTINCT user_id), 4)",
-        "cost_per_job": f"ROUND({D('SUM(estimated_cost)')} / COUNT(DISTINCT job_id), 4)",
+        "cost_per_user": f"{D('SUM(estimated_cost)')} / COUNT(DISTINCT user_id)",
+        "cost_per_job": f"{D('SUM(estimated_cost)')} / COUNT(DISTINCT job_id)",
     }
     def cells(table: str, e: str) -> str:
         return ", ".join(f"(SELECT {e} FROM {table} WHERE workspace_id = '{w}') AS \"{w}\"" for w in _IDS)
@@ -156,10 +156,10 @@ def _(i: Inputs) -> DataFrame:
 
 @query("drill_records", using("cost") + f"""
 SELECT record_id AS cost_id, {DATE('usage_date')} AS usage_date, workspace_id, sku, job_id, user_id, {D('estimated_cost')} AS estimated_cost
-FROM cost WHERE environment = 'PROD' AND cloud IN ('AWS', 'GCP') AND region = 'ASIA' AND usage_date BETWEEN DATE '1999-01-01' AND DATE '2000-06-30'""")
+FROM cost WHERE environment = 'PROD' AND cloud IN ('AWS', 'GCP') AND region = 'EUROPE' AND usage_date BETWEEN DATE '1999-01-01' AND DATE '2000-06-30'""")
 def _(i: Inputs) -> DataFrame:
     chosen = serving.filtered(i.cost("user"), {
-        "environment": "PROD", "cloud": ["AWS", "GCP"], "region": "ASIA", "date_range": ("1999-01-01", "2000-06-30")})
+        "environment": "PROD", "cloud": ["AWS", "GCP"], "region": "EUROPE", "date_range": ("1999-01-01", "2000-06-30")})
     return chosen.select("cost_id", "usage_date", "workspace_id", "sku", "job_id", "user_id", "estimated_cost")
 
 
@@ -192,7 +192,7 @@ t AS (SELECT workspace_id, job_id, COUNT(DISTINCT job_run_id) AS run_count, {MD(
 r AS (SELECT 'job' || (user_id % 50) AS job_id, COUNT(*) FILTER (WHERE event_type = 'error') AS failure_count,
              ROUND(AVG(value), 4) AS avg_duration FROM events GROUP BY 1)
 SELECT workspace_id, job_id, job_id || '-name' AS job_name, run_count, total_usage, total_cost, failure_count, avg_duration,
-       ROUND(total_cost / run_count, 4) AS avg_cost_per_run
+       total_cost / run_count AS avg_cost_per_run
 FROM t LEFT JOIN r USING (job_id)""")
 def _(i: Inputs) -> DataFrame:
     return serving.job_table(i.cost(), _runs(i))

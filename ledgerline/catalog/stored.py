@@ -220,7 +220,7 @@ UNION ALL SELECT 'cost', COUNT(*) FROM one
 UNION ALL SELECT 'audit', COUNT(*) FROM audit
 UNION ALL SELECT 'prices', COUNT(*) FROM price
 UNION ALL SELECT 'workspaces', COUNT(*) FROM (SELECT workspace_id FROM usage UNION SELECT workspace_id FROM audit WHERE workspace_id <> '0')
-UNION ALL SELECT 'workspace_days', COUNT(*) FROM (SELECT DISTINCT workspace_id, usage_date FROM usage)
+UNION ALL SELECT 'skus', COUNT(DISTINCT sku) FROM usage
 UNION ALL SELECT 'steps', 20""")
 def _(i: Inputs) -> DataFrame:
     """The whole batch, twice: first the older usage, then everything."""
@@ -232,7 +232,7 @@ def _(i: Inputs) -> DataFrame:
     frames = {n: i.spark.read.parquet(f"{lake.root}/facts/{t}") for n, t in facts.items()}
     frames |= {n: lake.read(t) for n, t in {
         "prices": "bronze/bronze_billing_prices", "workspaces": "dims/dim_workspace",
-        "workspace_days": "gold/gold_workspace_daily_cost", "steps": "meta/framework_execution_log"}.items()}
+        "skus": "dims/dim_sku", "steps": "meta/framework_execution_log"}.items()}
     out = None
     for n, df in frames.items():
         one = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(n))

@@ -18,10 +18,15 @@ def money(col: Column) -> Column:
     return col.cast(MONEY)
 
 
+def percent(ratio: Column) -> Column:
+    """A ratio in percent, rounded half up by its decimal digits; NULL if it does not fit."""
+    return F.round((ratio * 100).try_cast("decimal(28,10)"), 2).try_cast(PERCENT)
+
+
 def change_pct(current: Column, previous: Column) -> Column:
     """Percent change; NULL unless the previous value is positive (or if it does not fit)."""
     cur, prev = current.cast("double"), previous.cast("double")
-    return F.when(prev > 0, F.round((cur - prev) / prev * 100, 2)).try_cast(PERCENT)
+    return F.when(prev > 0, percent((cur - prev) / prev))
 
 
 def trend_sign(current: Column, previous: Column) -> Column:

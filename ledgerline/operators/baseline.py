@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calc import PERCENT, change_pct, joined_key, money
+from ledgerline.functions.calc import change_pct, joined_key, money, percent
 
 
 def daily_totals(df: DataFrame, keys: Sequence[str], date: str, measure: str, carry: Sequence[str] = ()) -> DataFrame:
@@ -65,7 +65,7 @@ def spike(
         F.lit(metric).alias("metric"),
         "baseline_value",
         "actual_value",
-        F.round((actual - base) / base * 100, 2).try_cast(PERCENT).alias("deviation_percentage"),
+        percent((actual - base) / base).alias("deviation_percentage"),
         severity(actual, base, levels).alias("severity"),
         F.lit("Open").alias("status"),
     )
@@ -119,7 +119,7 @@ def off_pattern(
         F.lit(metric).alias("metric"),
         "baseline_value",
         "actual_value",
-        F.round((actual - b) / b * 100, 2).try_cast(PERCENT).alias("deviation_percentage"),
+        percent((actual - b) / b).alias("deviation_percentage"),
         severity(actual, b, levels).alias("severity"),
         F.lit("Open").alias("status"),
     )

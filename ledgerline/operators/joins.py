@@ -27,12 +27,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[D
     return F.broadcast(df), True
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Key lookup: the fact is not shuffled while the dimension is small."""
-    side, _ = broadcast_if_small(dim, max_rows)
-    return fact.join(side, on, how)
-
-
 def lookup_latest(
     left: DataFrame, right: DataFrame, key: str, latest_by: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
@@ -51,7 +45,7 @@ def _stamp(micros: Column) -> Column:
 
 
 def validity_segments(
-    prices: DataFrame, keys: Sequence[str], start: str, end: str, values: Sequence[str]
+    prices: DataFrame, keys: Sequence[str], start: str, end: str, values: Sequence[str], bounded: bool = False
 ) -> DataFrame:
     """Disjoint validity periods: at any instant the covering row with the latest start counts.
 
@@ -60,7 +54,9 @@ def validity_segments(
     latest start is kept, and each period boundary looks up its own block on every level. So a
     key whose periods all overlap costs no more than one whose periods do not.
 
-    Returns the keys, ``_from``, ``_to`` (NULL when open) and the values.
+    ``bounded`` says that the whole list was counted and is small; the boundaries of a key are then
+    chained by a plain window, else block by block. Returns the keys, ``_from``, ``_to`` (NULL when
+    open) and the values.
     """
     keys = list(keys)
     p = prices.select(
@@ -68,10 +64,12 @@ def validity_segments(
         _micros(F.col(start)).alias("_s"),
         F.coalesce(_micros(F.col(end)), F.lit(_FAR)).alias("_e"),
         F.struct(*values).alias("_v"),
-    ).filter("_s < _e")
+    ).filter("_s < _e").dropna(subset=keys)
     bounds = p.select(*keys, F.explode(F.array("_s", "_e")).alias("_b")).distinct()
+    odd = [F.when(F.col("_lo") % 2 == 1, F.col("_lo")), F.when(F.col("_hi") % 2 == 1, F.col("_hi") - 1)]
+    levels = F.explode(F.sequence(F.lit(0), F.lit(_BITS - 1)))
     blocks = (
-        p.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(_BITS - 1))))
+        p.withColumn("_i", levels)
         .withColumns(
             {
                 "_lo": F.expr("shiftright(_s + shiftleft(1L, _i) - 1, _i)"),
@@ -79,30 +77,17 @@ def validity_segments(
             }
         )
         .filter("_lo < _hi")
-        .select(
-            *keys,
-            "_i",
-            "_s",
-            "_v",
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        F.when(F.col("_lo") % 2 == 1, F.col("_lo")),
-                        F.when(F.col("_hi") % 2 == 1, F.col("_hi") - 1),
-                    )
-                )
-            ).alias("_blk"),
-        )
+        .select(*keys, "_i", "_s", "_v", F.explode(F.array_compact(F.array(*odd))).alias("_blk"))
         .groupBy(*keys, "_i", "_blk")
         .agg(F.max(F.struct("_s", "_v")).alias("_w"))
     )
-    probes = bounds.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(_BITS - 1)))).withColumn(
-        "_blk", F.expr("shiftright(_b, _i)")
-    )
-    winner = probes.join(blocks, [*keys, "_i", "_blk"]).groupBy(*keys, "_b").agg(F.max("_w").alias("_w"))
-    following = ordered_functions(bounds, keys, "_b", ["_b"], F.shiftright("_b", 45), neighbours="_b")
-    seg = winner.join(following.select(*keys, "_b", "next_value"), [*keys, "_b"])
-    return seg.select(
+    probes = bounds.withColumn("_i", levels).withColumn("_blk", F.expr("shiftright(_b, _i)"))
+    winner = probes.join(blocks, [*keys, "_i", "_blk"], "left").groupBy(*keys, "_b").agg(F.max("_w").alias("_w"))
+    if bounded:
+        seg = winner.withColumn("next_value", F.lead("_b").over(Window.partitionBy(*keys).orderBy("_b")))
+    else:
+        seg = ordered_functions(winner, keys, "_b", ["_b"], F.shiftright("_b", 45), neighbours="_b")
+    return seg.filter("_w IS NOT NULL").select(
         *keys,
         _stamp(F.col("_b")).alias("_from"),
         F.when(F.col("next_value") < _FAR, _stamp(F.col("next_value"))).alias("_to"),
@@ -126,7 +111,9 @@ def price_lookup(
     side is not shuffled at all. A large one is joined on the keys plus a 25-day bucket, so that a
     hot key is spread over time.
     """
-    seg = validity_segments(prices, list(keys.values()), start, end, values)
+    # Every price row adds at most two segments.
+    small = bounded_rows(prices, max_rows // 2) is not None
+    seg = validity_segments(prices, list(keys.values()), start, end, values, bounded=small)
     seg = seg.withColumnsRenamed({v: f"_p_{v}" for v in keys.values()})
     same = None
     for u, v in keys.items():
@@ -134,9 +121,8 @@ def price_lookup(
         same = eq if same is None else same & eq
     t = F.col(at).cast("timestamp")
     during = (F.col("_from") <= t) & (F.col("_to").isNull() | (t < F.col("_to")))
-    side, small = broadcast_if_small(seg, max_rows)
     if small:
-        j = usage.join(side, same & during, "left")
+        j = usage.join(F.broadcast(seg), same & during, "left")
     else:
         last = usage.agg(F.max(_micros(F.col(at)))).scalar()
         spread = seg.withColumn("_last", F.coalesce(_micros(F.col("_to")) - 1, last)).withColumn(

@@ -120,7 +120,7 @@ class DailyBatch:
             return {"read": 0, "inserted": 0, "updated": 0}
         order = [F.desc(column), *[F.desc(c) for c, k in batch.dtypes if not k.startswith("map")]]
         one = dedup_latest(batch, [key, date], order)
-        done = upsert_partitions(self.spark, self.path(table), one, [key], date, unique_source=True)
+        done = self._save(table, one, key, date)
         advance_watermark(self.lake, f"ingest_{table}", table, column, seen.top, self.now)
         return {"read": seen.n, **done}
 

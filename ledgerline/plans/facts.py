@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import QUANTITY, estimated_cost, money, surrogate_key, tag
-from ledgerline.operators.joins import lookup_join, price_lookup
+from ledgerline.operators.joins import price_lookup
 
 _METADATA = (
     "job_id", "cluster_id", "warehouse_id", "instance_pool_id", "node_type", "job_name", "job_run_id",
@@ -18,7 +18,7 @@ _FEATURES = ("is_serverless", "is_photon", "serving_type", "jobs_tier", "sql_tie
 def silver_usage(usage: DataFrame, workspace: DataFrame) -> DataFrame:
     """Flat usage records with workspace attributes."""
     w = workspace.select("workspace_id", "workspace_name", "environment", "region")
-    j = lookup_join(usage, w, "workspace_id")
+    j = usage.join(w, "workspace_id", "left")
     return j.select(
         "usage_date", "usage_start_time", "usage_end_time", "workspace_id", "workspace_name", "environment",
         "cloud", "region", F.col("sku_name").alias("sku"), "usage_unit", "usage_quantity", "record_type",
@@ -48,7 +48,7 @@ def cost_fact(silver: DataFrame, prices: DataFrame, workspace: DataFrame) -> Dat
         "price_start_time", "price_end_time", ["unit_price", "currency"],
     )
     w = workspace.select("workspace_id", "cost_center", "business_unit", "department")
-    j = lookup_join(priced, w, "workspace_id")
+    j = priced.join(w, "workspace_id", "left")
     return j.select(
         F.col("record_id").alias("cost_id"),
         "usage_date", "usage_start_time", "usage_end_time", "workspace_id", "workspace_name", "sku", "usage_unit",
@@ -86,9 +86,8 @@ def user_kind(run_by: Column, run_as: Column) -> Column:
 def audit_fact(audit: DataFrame, workspace: DataFrame) -> DataFrame:
     """Flat audit events; ``audit_details`` keeps the whole source row as JSON."""
     payload = F.to_json(F.struct(*[c for c in audit.columns if not c.startswith("_")]))
-    j = lookup_join(
-        audit.withColumn("audit_details", payload), workspace.select("workspace_id", "workspace_name"), "workspace_id"
-    )
+    w = workspace.select("workspace_id", "workspace_name")
+    j = audit.withColumn("audit_details", payload).join(w, "workspace_id", "left")
     params = F.col("request_params")
 
     def param(*names: str) -> Column:

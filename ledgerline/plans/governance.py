@@ -7,8 +7,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import lookup_join
-
 # The roles. Roles that see unmasked columns, cost columns and audit columns.
 UNMASKED = {"platform_admin"}
 SEES_COST = {"platform_admin", "finance", "workspace_owner", "viewer"}
@@ -33,7 +31,7 @@ def secure_view(
 def assigned_rows(df: DataFrame, grants: DataFrame, user: str, key: str = "workspace_id") -> DataFrame:
     """Rows of the workspaces granted to a user. The grants are filtered before the join."""
     mine = grants.filter(F.col("user_name") == user).select(key).distinct()
-    return lookup_join(df, mine, key, "left_semi")
+    return df.join(mine, key, "left_semi")
 
 
 def role_view(kind: str, df: DataFrame, role: str, grants: DataFrame | None = None, user: str | None = None) -> DataFrame:

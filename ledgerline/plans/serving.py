@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calc import change_pct, money, trend_sign
+from ledgerline.functions.calc import change_pct, money, percent, trend_sign
 from ledgerline.plans.gold import rollup_cost
 
 
@@ -89,7 +89,7 @@ def cost_by_sku(sku: DataFrame) -> DataFrame:
     )
     total = sku.agg(F.sum("estimated_cost").cast("double")).scalar()
     return per.withColumn("_total", total).select(
-        *per.columns, F.round(F.col("estimated_cost").cast("double") * 100 / F.col("_total"), 2).alias("cost_pct")
+        *per.columns, percent(F.col("estimated_cost").cast("double") / F.col("_total")).alias("cost_pct")
     ).orderBy(F.desc("estimated_cost"), "sku")
 
 
@@ -174,13 +174,16 @@ def workspace_compare(fact: DataFrame, audit: DataFrame, workspace_ids: Sequence
         F.count(F.lit(1)).cast("double").alias("events"),
         F.count_if(F.col("response_status") >= 400).cast("double").alias("failed_events"),
     )
-    j = r.join(a, "workspace_id", "left").withColumns({
-        "cost_per_user": F.round(F.col("cost") / F.nullif("users", F.lit(0.0)), 4),
-        "cost_per_job": F.round(F.col("cost") / F.nullif("jobs", F.lit(0.0)), 4),
+    j = r.join(a, "workspace_id", "full_outer").withColumns({
+        "cost_per_user": F.col("cost") / F.nullif("users", F.lit(0.0)),
+        "cost_per_job": F.col("cost") / F.nullif("jobs", F.lit(0.0)),
     })
     rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in COMPARE])
     flat = j.select("workspace_id", F.explode(rows).alias("x")).select("workspace_id", "x.*")
-    return flat.groupBy("metric").pivot("workspace_id", ids).agg(F.max("value"))
+    out = flat.groupBy("metric").pivot("workspace_id", ids).agg(F.max("value"))
+    # A workspace without rows has no cost, but it has zero users, jobs and events.
+    counted = F.col("metric").isin("users", "jobs", "events", "failed_events")
+    return out.select("metric", *[F.when(counted, F.coalesce(F.col(f"`{w}`"), F.lit(0.0))).otherwise(F.col(f"`{w}`")).alias(w) for w in ids])
 
 
 DRILL = ["workspace_id", "sku", "job_id", "cluster_id", "user_id"]
@@ -246,7 +249,7 @@ def job_table(fact: DataFrame, runs: DataFrame) -> DataFrame:
         F.count_if(F.col("result_state") != "SUCCESS").alias("failure_count"),
         F.round(F.avg("duration_seconds"), 4).alias("avg_duration"),
     )
-    cost_per_run = F.round(F.col("total_cost").cast("double") / F.nullif("run_count", F.lit(0)), 4)
+    cost_per_run = F.col("total_cost").cast("double") / F.nullif("run_count", F.lit(0))
     return t.join(r, "job_id", "left").withColumn("avg_cost_per_run", cost_per_run)
 
 
