@@ -11,13 +11,12 @@ from ledgerline.functions.calc import bounded_rows
 from ledgerline.operators.merge import dedup_latest
 from ledgerline.operators.ordered import ordered_functions
 
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 
 # Times are counted in microseconds from year 1; 59 binary digits reach beyond year 9999.
 _BITS = 59
 _YEAR_ONE = -62_135_596_800_000_000
 _FAR = 2**_BITS - 1
-_BUCKET_BITS = 41  # 25.4 days
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -44,27 +43,8 @@ def _stamp(micros: Column) -> Column:
     return F.timestamp_micros(micros + F.lit(_YEAR_ONE))
 
 
-def validity_segments(
-    prices: DataFrame, keys: Sequence[str], start: str, end: str, values: Sequence[str], bounded: bool = False
-) -> DataFrame:
-    """Disjoint validity periods: at any instant the covering row with the latest start counts.
-
-    Input periods are half open, an empty end means open, and they may overlap or nest. Every
-    period is cut into aligned power-of-two blocks (at most two per level); of each block only the
-    latest start is kept, and each period boundary looks up its own block on every level. So a
-    key whose periods all overlap costs no more than one whose periods do not.
-
-    ``bounded`` says that the whole list was counted and is small; the boundaries of a key are then
-    chained by a plain window, else block by block. Returns the keys, ``_from``, ``_to`` (NULL when
-    open) and the values.
-    """
-    keys = list(keys)
-    p = prices.select(
-        *keys,
-        _micros(F.col(start)).alias("_s"),
-        F.coalesce(_micros(F.col(end)), F.lit(_FAR)).alias("_e"),
-        F.struct(*values).alias("_v"),
-    ).filter("_s < _e").dropna(subset=keys)
+def _segments(p: DataFrame, keys: list[str], bounded: bool) -> DataFrame:
+    """Disjoint segments ``[_b, next_value)`` of the periods ``[_s, _e)``, with the winning ``_w``."""
     bounds = p.select(*keys, F.explode(F.array("_s", "_e")).alias("_b")).distinct()
     odd = [F.when(F.col("_lo") % 2 == 1, F.col("_lo")), F.when(F.col("_hi") % 2 == 1, F.col("_hi") - 1)]
     levels = F.explode(F.sequence(F.lit(0), F.lit(_BITS - 1)))
@@ -87,7 +67,35 @@ def validity_segments(
         seg = winner.withColumn("next_value", F.lead("_b").over(Window.partitionBy(*keys).orderBy("_b")))
     else:
         seg = ordered_functions(winner, keys, "_b", ["_b"], F.shiftright("_b", 45), neighbours="_b")
-    return seg.filter("_w IS NOT NULL").select(
+    return seg.filter("_w IS NOT NULL")
+
+
+def _periods(prices: DataFrame, keys: list[str], start: str, end: str, values: Sequence[str]) -> DataFrame:
+    p = prices.select(
+        *keys,
+        _micros(F.col(start)).alias("_s"),
+        F.coalesce(_micros(F.col(end)), F.lit(_FAR)).alias("_e"),
+        F.struct(*values).alias("_v"),
+    )
+    return p.filter("_s < _e").dropna(subset=keys)
+
+
+def validity_segments(
+    prices: DataFrame, keys: Sequence[str], start: str, end: str, values: Sequence[str], bounded: bool = False
+) -> DataFrame:
+    """Disjoint validity periods: at any instant the covering row with the latest start counts.
+
+    Input periods are half open, an empty end means open, and they may overlap or nest. Every
+    period is cut into aligned power-of-two blocks (at most two per level); of each block only the
+    latest start is kept, and each period boundary looks up its own block on every level. So a
+    key whose periods all overlap costs no more than one whose periods do not.
+
+    ``bounded`` says that the whole list was counted and is small; the boundaries of a key are then
+    chained by a plain window, else block by block. Returns the keys, ``_from``, ``_to`` (NULL when
+    open) and the values.
+    """
+    keys = list(keys)
+    return _segments(_periods(prices, keys, start, end, values), keys, bounded).select(
         *keys,
         _stamp(F.col("_b")).alias("_from"),
         F.when(F.col("next_value") < _FAR, _stamp(F.col("next_value"))).alias("_to"),
@@ -107,38 +115,44 @@ def price_lookup(
 ) -> DataFrame:
     """Each usage row with the values of the price valid at its time, exactly once.
 
-    ``keys`` maps usage columns to price columns. A small price list is broadcast and the usage
-    side is not shuffled at all. A large one is joined on the keys plus a 25-day bucket, so that a
-    hot key is spread over time.
+    ``keys`` maps usage columns to price columns. Segments are spread over time buckets and joined
+    on the keys plus the bucket, so a row meets the few segments of its bucket and not all of its
+    key. The bucket width follows from the price list: about as many (key, bucket) pairs as the list
+    has rows. Usage after the last price boundary belongs to the last bucket, where every
+    open segment is present.
+
+    A price list of at most ``max_rows`` is broadcast and the usage side is not shuffled at all;
+    a larger one is shuffled on keys and bucket, which spreads a hot key over time.
     """
-    # Every price row adds at most two segments.
-    small = bounded_rows(prices, max_rows // 2) is not None
-    seg = validity_segments(prices, list(keys.values()), start, end, values, bounded=small)
-    seg = seg.withColumnsRenamed({v: f"_p_{v}" for v in keys.values()})
-    same = None
-    for u, v in keys.items():
-        eq = F.col(u) == F.col(f"_p_{v}")
-        same = eq if same is None else same & eq
-    t = F.col(at).cast("timestamp")
-    during = (F.col("_from") <= t) & (F.col("_to").isNull() | (t < F.col("_to")))
-    if small:
-        j = usage.join(F.broadcast(seg), same & during, "left")
-    else:
-        last = usage.agg(F.max(_micros(F.col(at)))).scalar()
-        spread = seg.withColumn("_last", F.coalesce(_micros(F.col("_to")) - 1, last)).withColumn(
-            "_pb",
-            F.explode(
-                F.when(
-                    F.col("_last") >= _micros(F.col("_from")),
-                    F.sequence(
-                        F.shiftright(_micros(F.col("_from")), _BUCKET_BITS), F.shiftright("_last", _BUCKET_BITS)
-                    ),
-                )
-            ),
-        )
-        bucketed = usage.withColumn("_ub", F.shiftright(_micros(F.col(at)), _BUCKET_BITS))
-        j = bucketed.join(spread, same & (F.col("_ub") == F.col("_pb")) & during, "left")
-    return j.select(*usage.columns, *values)
+    names = list(keys.values())
+    p = _periods(prices, names, start, end, values)
+    size = p.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_s").alias("first"),
+        F.max(F.greatest("_s", F.when(F.col("_e") < _FAR, F.col("_e")))).alias("last"),
+        F.approx_count_distinct(F.struct(*names)).alias("keys"),
+    ).first()
+    if not size.n:
+        kinds = prices.select(*values).schema
+        return usage.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields])
+    per_key = max(1, max(4 * size.n, 1 << 16) // size.keys)
+    bits = max(0, (size.last - size.first) // per_key).bit_length()
+    small = size.n <= max_rows
+    seg = _segments(p, names, small).withColumnsRenamed({v: f"_p_{v}" for v in names})
+    until = F.least(F.col("next_value") - 1, F.lit(size.last))
+    seg = seg.select(
+        *[f"_p_{v}" for v in names],
+        "_b",
+        F.col("next_value").alias("_n"),
+        F.explode(F.sequence(F.shiftright("_b", bits), F.shiftright(until, bits))).alias("_pb"),
+        "_w._v.*",
+    )
+    t = _micros(F.col(at))
+    u = usage.withColumns({"_t": t, "_ub": F.shiftright(F.least(t, F.lit(size.last)), bits)})
+    on = (F.col("_ub") == F.col("_pb")) & (F.col("_b") <= F.col("_t")) & (F.col("_t") < F.col("_n"))
+    for mine, theirs in keys.items():
+        on = on & (F.col(mine) == F.col(f"_p_{theirs}"))
+    return u.join(F.broadcast(seg) if small else seg, on, "left").select(*usage.columns, *values)
 
 
 def asof_join(
