@@ -12,6 +12,7 @@ from ledgerline.operators.joins import asof_join, broadcast_if_small, lookup_lat
 from ledgerline.operators.merge import change_feed, dedup_latest, upsert
 from ledgerline.operators.ordered import exact_percentile, ordered_functions
 from ledgerline.operators.similarity import topk_cosine
+from ledgerline.plans.monitoring import experiment_ranking
 
 # --- projections, aggregates, sorts ---------------------------------------------------------
 
@@ -305,10 +306,23 @@ def _order_features(i: Inputs) -> DataFrame:
 
 @query("forest_metrics")
 def _(i: Inputs) -> DataFrame:
+    """Two forests, recorded and ranked by their error."""
     train, test = features.hash_split(_order_features(i), "o_orderkey")
-    score = features.fit_forest(train, ["qty", "lines", "gross"], "o_totalprice", trees=20)
-    m = features.regression_metrics(score(test), "o_totalprice")
-    return i.spark.createDataFrame([("forest", m["rmse"], m["r2"])], "run string, rmse double, r2 double")
+    lake = i.lake()
+    for depth in (3, 5):
+        params = {"trees": 20, "depth": depth}
+        score = features.fit_forest(train, ["qty", "lines", "gross"], "o_totalprice", **params)
+        metrics = features.regression_metrics(score(test), "o_totalprice")
+        features.record_run(lake, "order_price", f"depth{depth}", params, metrics)
+    return experiment_ranking(lake.read(features.RUNS), "order_price").drop("params")
+
+
+@query("batch_scoring")
+def _(i: Inputs) -> DataFrame:
+    """Every order with the price that the forest predicts."""
+    df = _order_features(i)
+    train, _ = features.hash_split(df, "o_orderkey")
+    return features.fit_forest(train, ["qty", "lines", "gross"], "o_totalprice", trees=10)(df)
 
 
 @query("feature_table", """

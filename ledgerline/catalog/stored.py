@@ -221,13 +221,12 @@ UNION ALL SELECT 'audit', COUNT(*) FROM audit
 UNION ALL SELECT 'prices', COUNT(*) FROM price
 UNION ALL SELECT 'workspaces', COUNT(*) FROM (SELECT workspace_id FROM usage UNION SELECT workspace_id FROM audit WHERE workspace_id <> '0')
 UNION ALL SELECT 'skus', COUNT(DISTINCT sku) FROM usage
-UNION ALL SELECT 'steps', 20""")
+UNION ALL SELECT 'steps', 10""")
 def _(i: Inputs) -> DataFrame:
-    """The whole batch, twice: first the older usage, then everything."""
+    """The whole batch over all usage, prices and audit events."""
     lake = i.lake()
-    first = "1990-01-01 00:00:00"
-    for usage in (i.usage().filter(F.col("usage_start_time") < "2000-01-01"), i.usage()):
-        DailyBatch(lake, Sources(usage, i.prices, i.audit_raw.drop("_value")), NOW, grain="year", first=first).run()
+    sources = Sources(i.usage(), i.prices, i.audit_raw.drop("_value"))
+    DailyBatch(lake, sources, NOW, grain="year", first="1990-01-01 00:00:00").run()
     facts = {"usage": "bronze_billing_usage", "cost": "fact_cost", "audit": "fact_audit_event"}
     frames = {n: i.spark.read.parquet(f"{lake.root}/facts/{t}") for n, t in facts.items()}
     frames |= {n: lake.read(t) for n, t in {

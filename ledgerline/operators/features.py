@@ -62,6 +62,16 @@ def fit_forest(train: DataFrame, inputs: Sequence[str], label: str, trees: int =
     return score
 
 
+RUNS = "meta/experiment_runs"
+
+
+def record_run(lake, experiment: str, run_id: str, params: dict, metrics: dict[str, float]) -> None:
+    """Append parameters and metrics of a run to the runs table."""
+    row = [(experiment, run_id, {k: str(v) for k, v in params.items()}, metrics.get("rmse"), metrics.get("r2"))]
+    schema = "experiment_name string, run_id string, params map<string,string>, rmse double, r2 double"
+    lake.append(RUNS, lake.spark.createDataFrame(row, schema))
+
+
 def regression_metrics(scored: DataFrame, label: str) -> dict[str, float]:
     def measure(name: str) -> float:
         return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=name).evaluate(scored)

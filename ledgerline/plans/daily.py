@@ -18,7 +18,7 @@ from ledgerline.operators.quality import duplicates, failing, run_checks
 from ledgerline.plans import anomalies, dims, facts, gold
 from ledgerline.plans.monitoring import run_steps
 from ledgerline.sources.files import with_lineage
-from ledgerline.sources.tables import Lake, upsert_partitions
+from ledgerline.sources.tables import Lake, replace_partitions, upsert_partitions
 from ledgerline.sources.watermarks import FIRST, advance_watermark, full_scan, incremental_scan, read_watermark
 
 
@@ -167,50 +167,64 @@ class DailyBatch:
         rows = facts.audit_fact(self._touched("bronze_audit_events", "event_date"), self.lake.read("dims/dim_workspace"))
         return self._save("fact_audit_event", rows, "audit_event_id", "event_date")
 
-    def allocation(self) -> dict:
-        rows = facts.allocate(self.fact("fact_cost"), {"project": ("project", "Project"), "application": ("application", "app")})
-        return self.lake.merge("silver/fact_cost_allocation", rows, ["allocation_id"], unique_source=True)
+    def rollups(self) -> dict:
+        """Daily aggregates of the touched partitions, replaced as a whole."""
+        cost = self._touched("bronze_billing_usage", "usage_date", "fact_cost")
+        audit = self._touched("bronze_audit_events", "event_date", "fact_audit_event")
+        tags = {"project": ("project", "Project"), "application": ("application", "app")}
+        for table, date, rows in [
+            ("workspace_day", "usage_date", gold.workspace_day(cost)),
+            ("gold_sku_cost", "usage_date", gold.sku_daily(cost)),
+            ("gold_user_cost", "usage_date", gold.user_daily(cost)),
+            ("gold_job_cost", "usage_date", gold.job_daily(cost)),
+            ("gold_cluster_cost", "usage_date", gold.cluster_daily(cost)),
+            ("warehouse_day", "usage_date", gold.rollup_cost(cost, ["usage_date", "workspace_id", "warehouse_id"], not_null="warehouse_id")),
+            ("fact_cost_allocation", "allocation_date", facts.allocate(cost, tags)),
+            ("gold_audit_summary", "event_date", gold.audit_summary(audit)),
+        ]:
+            replace_partitions(self.path(table), self._part(rows, date), "part_date")
+        return {}
 
     def checks(self) -> dict:
+        """The rules over the partitions of this run, prices and workspaces as a whole."""
         run = uuid.uuid4().hex
-        w = workspace_activity(self.lake.read("dims/dim_workspace"), self.fact("bronze_billing_usage"))
+        usage = self._touched("bronze_billing_usage", "usage_date")
         log = None
         for df, name, rules in [
-            (self.fact("bronze_billing_usage"), "bronze_billing_usage", usage_rules()),
-            (self.fact("fact_cost"), "fact_cost", cost_rules()),
+            (usage, "bronze_billing_usage", usage_rules()),
+            (self._touched("bronze_billing_usage", "usage_date", "fact_cost"), "fact_cost", cost_rules()),
             (self.lake.read("bronze/bronze_billing_prices"), "bronze_billing_prices", price_rules()),
-            (self.fact("bronze_audit_events"), "bronze_audit_events", audit_rules()),
-            (w, "dim_workspace", workspace_rules()),
+            (self._touched("bronze_audit_events", "event_date"), "bronze_audit_events", audit_rules()),
+            (workspace_activity(self.lake.read("dims/dim_workspace"), usage), "dim_workspace", workspace_rules()),
         ]:
             one = run_checks(df, name, rules, run, self.now)
             log = one if log is None else log.unionByName(one)
         self.lake.append("meta/dq_execution_log", log)
-        counts = {r.status: r.n for r in self.lake.read("meta/dq_execution_log").filter(F.col("dq_run_id") == run)
-                  .groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+        mine = self.lake.read("meta/dq_execution_log").filter(F.col("dq_run_id") == run)
+        counts = {r.status: r.n for r in mine.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
         return {"read": sum(counts.values()), "rejected": counts.get("FAIL", 0)}
 
     def anomalies(self) -> dict:
-        fact = self.fact("fact_cost")
+        """Detected on the daily aggregates, which carry the same sums as the fact."""
+        day, sku = self.fact("workspace_day"), self.fact("gold_sku_cost")
+        resources = {"job_id": "gold_job_cost", "cluster_id": "gold_cluster_cost", "warehouse_id": "warehouse_day"}
+        names = self.lake.read("dims/dim_workspace").select("workspace_id", "workspace_name")
         rows = anomalies.anomaly_rows(
-            anomalies.daily_spikes(fact), anomalies.sku_spikes(fact), anomalies.usage_spikes(fact),
-            *[anomalies.resource_spikes(fact, r) for r in anomalies.RESOURCES], anomalies.weekend_usage(fact),
+            anomalies.daily_spikes(day),
+            anomalies.sku_spikes(sku.join(names, "workspace_id", "left")),
+            anomalies.usage_spikes(day),
+            *[anomalies.resource_spikes(self.fact(t), r) for r, t in resources.items()],
+            anomalies.weekend_usage(day),
         ).withColumn("detected_timestamp", F.lit(self.now).cast("timestamp"))
         return self.lake.merge("silver/fact_cost_anomaly", rows, ["anomaly_id"], **anomalies.KEEP_STATUS)
 
     def gold(self) -> dict:
-        fact, audit = self.fact("fact_cost"), self.fact("fact_audit_event")
-        for name, rows in {
-            "gold_workspace_daily_cost": gold.workspace_daily(fact),
-            "gold_workspace_monthly_cost": gold.workspace_monthly(fact),
-            "gold_sku_cost": gold.sku_daily(fact),
-            "gold_user_cost": gold.user_daily(fact),
-            "gold_job_cost": gold.job_daily(fact),
-            "gold_cluster_cost": gold.cluster_daily(fact),
-            "gold_audit_summary": gold.audit_summary(audit),
-        }.items():
-            self.lake.overwrite(f"gold/{name}", rows)
+        """Changes against the previous day and month, from one row per workspace and day."""
+        day = self.fact("workspace_day")
+        self.lake.overwrite("gold/gold_workspace_daily_cost", gold.workspace_daily(day))
+        self.lake.overwrite("gold/gold_workspace_monthly_cost", gold.workspace_monthly(day))
         return {}
 
     def run(self) -> list[dict]:
-        steps = ["usage", "prices", "audit", "dimensions", "cost", "audit_fact", "allocation", "checks", "anomalies", "gold"]
+        steps = ["usage", "prices", "audit", "dimensions", "cost", "audit_fact", "rollups", "checks", "anomalies", "gold"]
         return run_steps(self.lake, "daily", [(s, getattr(self, s)) for s in steps])

@@ -25,6 +25,11 @@ def rollup_cost(
     )
 
 
+def workspace_day(fact: DataFrame) -> DataFrame:
+    """The sums per workspace and day, under the fact's own column names."""
+    return rollup_cost(fact, ["usage_date", "workspace_id"], carry={"workspace_name": "workspace_name", "environment": "environment"})
+
+
 def workspace_daily(fact: DataFrame) -> DataFrame:
     """One row per workspace and day with the change against its previous day."""
     daily = rollup_cost(

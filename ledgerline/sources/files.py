@@ -86,26 +86,43 @@ def land(df: DataFrame, root: str, source: str) -> str:
     return path
 
 
-def stored_schema(spark: SparkSession, folder: str) -> T.StructType | None:
+def stored_schema(spark: SparkSession, folder: str) -> tuple[T.StructType | None, dt.datetime | None]:
+    """The newest stored schema and when it was stored."""
     if not path_exists(spark, folder):
-        return None
-    rows = spark.read.text(folder, wholetext=True).select("value", "_metadata.file_modification_time")
-    newest = rows.orderBy(F.desc("file_modification_time"), F.desc(F.length("value"))).first()
-    return T.StructType.fromJson(json.loads(newest[0]))
+        return None, None
+    rows = spark.read.text(folder, wholetext=True).select("value", F.col("_metadata.file_modification_time").alias("at"))
+    newest = rows.orderBy(F.desc("at"), F.desc(F.length("value"))).first()
+    return T.StructType.fromJson(json.loads(newest[0])), newest[1]
+
+
+def list_files(spark: SparkSession, src: str, after: dt.datetime | None = None) -> DataFrame:
+    """Paths below a folder, from the file listing alone: ``path`` to read, ``file`` as in lineage."""
+    reader = spark.read.format("binaryFile")
+    return _since(reader, after).load(src).select("path", F.col("_metadata.file_path").alias("file"))
+
+
+def _since(reader, after: dt.datetime | None):
+    # An hour of slack covers clocks that differ and files that were being written.
+    return reader if after is None else reader.option(
+        "modifiedAfter", (after - dt.timedelta(hours=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    )
 
 
 def resolve_schema(spark: SparkSession, fmt: str, src: str, folder: str) -> T.StructType:
     """The stored schema plus newly seen columns; stored again when it grew.
 
-    Types once stored stay: a value that no longer fits reads as NULL.
+    Only files newer than the stored schema are looked at. Types once stored stay: a value that no
+    longer fits reads as NULL.
     """
+    known, at = stored_schema(spark, folder)
+    if known is not None and list_files(spark, src, at).limit(1).count() == 0:
+        return known
     if fmt == "csv":
-        seen = infer_csv(spark, src)
+        seen = infer_csv(spark, src, at)
     elif fmt == "json":
-        seen = spark.read.json(src).schema
+        seen = _since(spark.read, at).json(src).schema
     else:
-        seen = spark.read.option("mergeSchema", True).format(fmt).load(src).schema
-    known = stored_schema(spark, folder)
+        seen = _since(spark.read, at).option("mergeSchema", True).format(fmt).load(src).schema
     schema = merge_schemas(known or T.StructType([]), seen)
     if schema != known:
         spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("append").text(folder)
@@ -115,13 +132,13 @@ def resolve_schema(spark: SparkSession, fmt: str, src: str, folder: str) -> T.St
 MAX_HEADERS = 1_000
 
 
-def csv_columns(spark: SparkSession, src: str) -> list[str]:
+def csv_columns(spark: SparkSession, src: str, after: dt.datetime | None = None) -> list[str]:
     """Column names of all files of a folder: the widest header.
 
     Spark maps CSV fields by position, so every other header has to be its beginning; a file with
     another order fails here instead of filling the wrong columns.
     """
-    lines = spark.read.text(src).select(
+    lines = _since(spark.read, after).text(src).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at"),
@@ -139,11 +156,11 @@ def csv_columns(spark: SparkSession, src: str) -> list[str]:
     return widest
 
 
-def infer_csv(spark: SparkSession, src: str) -> T.StructType:
+def infer_csv(spark: SparkSession, src: str, after: dt.datetime | None = None) -> T.StructType:
     """Column types from one pass: the first type that all values of a column parse as."""
-    names = csv_columns(spark, src)
+    names = csv_columns(spark, src, after)
     text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    df = spark.read.schema(text).option("header", True).csv(src)
+    df = _since(spark.read, after).schema(text).option("header", True).csv(src)
     kinds = ["bigint", "double", "boolean", "timestamp"]
     tests = [
         F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(k).isNull()).alias(f"{i}_{k}")
@@ -158,19 +175,31 @@ def infer_csv(spark: SparkSession, src: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(out))
 
 
-def copy_into(lake: Lake, name: str, fmt: str, src: str) -> int:
-    """Load the files of ``src`` that the table has not loaded yet; returns the number of new files.
+LOAD_FILES = 10_000
+
+
+def copy_into(lake: Lake, name: str, fmt: str, src: str, schema: T.StructType | None = None) -> int:
+    """Load the files of ``src`` that the table has not loaded yet; returns how many.
 
-    File names are compared in an anti join, so neither list is held on the driver.
+    The listing and the table's lineage column are compared in an anti join; only the new files are
+    opened, at most about ``LOAD_FILES`` per commit.
     """
     spark = lake.spark
-    df = with_source_file(read_text_table(spark, fmt, src) if fmt != "parquet" else spark.read.parquet(src))
-    listed = df.select("_source_file").distinct()
+    new = list_files(spark, src)
     if lake.exists(name):
-        loaded = lake.read(name).select("_source_file").distinct()
-        listed = listed.join(loaded, "_source_file", "left_anti")
-    new = listed.count()
-    if new:
-        fresh = df.join(listed, "_source_file", "left_semi") if lake.exists(name) else df
-        lake.append(name, fresh.select(*[c for c in df.columns if c != "_source_file"], "_source_file"))
-    return new
+        done = lake.read(name).select(F.col("_source_file").alias("file")).distinct()
+        new = new.join(done, "file", "left_anti")
+    n = new.count()
+    lots = -(-n // LOAD_FILES)
+    chosen = [
+        [r.path for r in new.filter(F.pmod(F.xxhash64("file"), F.lit(lots)) == k).select("path").collect()]
+        for k in range(lots)
+    ]
+    for paths in filter(None, chosen):
+        reader = spark.read.options(**format_options(fmt)).format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        elif fmt == "csv":
+            reader = reader.schema(infer_csv(spark, src))
+        lake.append(name, with_source_file(reader.load(paths)))
+    return n

@@ -183,13 +183,19 @@ def upsert_partitions(
     return {k: int(v) for k, v in seen.get.items()}
 
 
-def replace_dates(path: str, df: DataFrame, partition: str) -> None:
-    """Replace exactly the partitions present in ``df``: groups that vanished from a date go too."""
+def replace_partitions(path: str, df: DataFrame, partition: str) -> None:
+    """Replace exactly the partitions present in ``df``: groups that vanished from them go too."""
     df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
 
 
+def ensure_layers(spark: SparkSession, root: str, layers: Sequence[str] = ("bronze", "silver", "gold", "dims", "meta")) -> None:
+    """One database per layer, for use by name in SQL."""
+    for layer in layers:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}'")
+
+
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     for name, df in views.items():
         df.createOrReplaceTempView(name)

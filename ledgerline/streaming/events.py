@@ -62,10 +62,16 @@ def dropped_by_watermark(query) -> int:
 
 
 def correct_windows(lake: Lake, name: str, bronze: DataFrame, late: DataFrame, ts: str, width: str, keys: Sequence[str]) -> dict:
-    """Recount from bronze the windows that late rows belong to, and upsert them."""
-    t = F.col(ts).cast("timestamp")
-    hit = late.select(F.window(t, width)["start"].alias("_w"), *keys).distinct()
-    fresh = batch_counts(bronze, ts, width, keys).alias("f")
+    """Recount from bronze the windows that late rows belong to, and upsert them.
+
+    Bronze is read between the first and the last touched window only.
+    """
+    w = F.window(F.col(ts).cast("timestamp"), width)
+    hit = late.select(w["start"].alias("_w"), *keys).distinct()
+    kind = bronze.schema[ts].dataType
+    lo, hi = late.agg(F.min(w["start"]).cast("string"), F.max(w["end"]).cast("string")).first()
+    part = bronze.filter((F.col(ts) >= F.lit(lo).cast(kind)) & (F.col(ts) < F.lit(hi).cast(kind)))
+    fresh = batch_counts(part, ts, width, keys).alias("f")
     on = F.col("f.window_start") == F.col("h._w")
     for k in keys:
         on = on & F.col(f"f.{k}").eqNullSafe(F.col(f"h.{k}"))
