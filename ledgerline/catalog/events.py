@@ -28,12 +28,13 @@ def _source(i: Inputs, df: DataFrame, landing: str):
 @query("stream_tumbling", _COUNTS)
 def _(i: Inputs) -> DataFrame:
     """Update mode, restarted after each slice: the final state equals the batch count."""
-    lake, work, e = i.lake(), i.folder("stream"), i.table("events")
-    write = ev.merge_batches(lake, "gold/counts", ["window_start", "window_end", "event_type"])
+    work, e = i.folder("stream"), i.table("events")
+    write = ev.merge_partitions(f"{work}/counts", ["window_start", "window_end", "event_type"], "day")
     make = _source(i, e, f"{work}/in")
-    ev.replay(lambda: ev.windowed_counts(make(), "ts", "1 hour", "2 minutes", ["event_type"]), _slices(e), f"{work}/in",
+    counts = lambda: ev.windowed_counts(make(), "ts", "1 hour", "2 minutes", ["event_type"])
+    ev.replay(lambda: counts().withColumn("day", F.col("window_start").cast("date")), _slices(e), f"{work}/in",
               lambda s: ev.run_available(s, f"{work}/state", write, "update"))
-    return lake.read("gold/counts")
+    return i.spark.read.parquet(f"{work}/counts").drop("day")
 
 
 @query("stream_closed_windows", f"""SELECT * FROM ({_COUNTS}) WHERE window_end <= (SELECT {TS("MAX(ts) - INTERVAL 2 MINUTE")} FROM events)""")

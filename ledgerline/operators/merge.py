@@ -98,17 +98,21 @@ def upsert(
     return joined.select(*out, action.alias(ACTION))
 
 
-def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the source rows whose key the target lacks; matched rows stay as they are."""
+def missing_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source rows whose key the target lacks."""
     on = None
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns])
     for k in keys:
         same = F.col(f"_s_{k}").eqNullSafe(F.col(f"_t_{k}"))
         on = same if on is None else on & same
     known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    fresh = s.join(known, on, "left_anti").select(*[F.col(f"_s_{c}").alias(c) for c in source.columns])
+    return s.join(known, on, "left_anti").select(*[F.col(f"_s_{c}").alias(c) for c in source.columns])
+
+
+def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the source rows whose key the target lacks; matched rows stay as they are."""
     return target.withColumn(ACTION, F.lit("keep")).unionByName(
-        fresh.withColumn(ACTION, F.lit("insert")), allowMissingColumns=True
+        missing_rows(target, source, keys).withColumn(ACTION, F.lit("insert")), allowMissingColumns=True
     )
 
 

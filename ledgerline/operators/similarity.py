@@ -7,8 +7,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calc import bounded_rows
-
 QUERY_BLOCK = 2_000
 CELL_ROWS = 50_000
 
@@ -42,8 +40,8 @@ def topk_cosine(
         F.col(base_id).cast("long").alias("b"), F.col(vector).cast("array<double>").alias("v")
     )
     out = "q long, b long, score double"
-    if bounded_rows(qs, query_block) is not None:
-        rows = qs.collect()
+    rows = qs.limit(query_block + 1).collect()
+    if len(rows) <= query_block:
         block = (np.array([r.q for r in rows], dtype=np.int64), [r.v for r in rows])
         local = bs.mapInPandas(_against(block, k), out)
     else:

@@ -94,6 +94,7 @@ class DailyBatch:
         self.lake, self.src, self.now, self.lookback = lake, sources, now, lookback_days
         self.grain, self.first = grain, first
         self.batch = uuid.uuid4().hex
+        self.touched: dict[str, list] = {}
         self.spark = lake.spark
 
     def path(self, table: str) -> str:
@@ -116,8 +117,11 @@ class DailyBatch:
         with_lineage(new, table, self.batch, self.now).write.parquet(staged)
         batch = self.spark.read.parquet(staged)
         seen = batch.agg(F.count(F.lit(1)).alias("n"), F.max(column).cast("string").alias("top")).first()
+        self.touched[table] = []
         if not seen.n:
             return {"read": 0, "inserted": 0, "updated": 0}
+        parts = self._part(batch, date).select("part_date").distinct().collect()
+        self.touched[table] = [r.part_date for r in parts]
         order = [F.desc(column), *[F.desc(c) for c, k in batch.dtypes if not k.startswith("map")]]
         one = dedup_latest(batch, [key, date], order)
         done = self._save(table, one, key, date)
@@ -137,66 +141,79 @@ class DailyBatch:
     def dimensions(self) -> dict:
         lk = self.lake
         lk.insert_missing("dims/dim_environment", dims.environments(self.spark), ["environment"])
-        found = dims.discovered_workspaces(self.src.usage, self.src.audit)
+        usage, audit = self._batch("bronze_billing_usage"), self._batch("bronze_audit_events")
+        found = dims.discovered_workspaces(usage, audit)
         empty = ["workspace_name", "environment", "region", "business_unit", "department", "cost_center", "owner"]
         found = found.withColumns({c: F.lit(None).cast("string") for c in empty})
-        done = lk.merge("dims/dim_workspace", found, ["workspace_id"], **dims.WORKSPACE_REFRESH)
-        lk.insert_missing("dims/dim_sku", dims.skus(self._batch("bronze_billing_usage")), ["sku"])
-        lk.insert_missing("dims/dim_user", dims.billing_users(self._batch("bronze_billing_usage")), ["user_id"])
-        lk.insert_missing("dims/dim_user", dims.audit_users(self._batch("bronze_audit_events")), ["user_id"])
+        done = lk.merge("dims/dim_workspace", found, ["workspace_id"], unique_source=True, **dims.WORKSPACE_REFRESH)
+        if self.touched["bronze_billing_usage"]:
+            lk.insert_missing("dims/dim_sku", dims.skus(usage), ["sku"])
+            lk.insert_missing("dims/dim_user", dims.billing_users(usage), ["user_id"])
+        if self.touched["bronze_audit_events"]:
+            lk.insert_missing("dims/dim_user", dims.audit_users(audit), ["user_id"])
         return done
 
     def _batch(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.lake.root}/staging/{table}-{self.batch}")
 
-    def _touched(self, bronze: str, date: str, table: str | None = None) -> DataFrame:
+    def _touched(self, bronze: str, table: str | None = None) -> DataFrame:
         """Rows of the partitions that this batch touched: a plain partition filter."""
-        days = [r[0] for r in self._part(self._batch(bronze), date).select("part_date").distinct().collect()]
-        df = self.fact(table or bronze)
-        return df.filter(F.col("part_date").isin(days)) if days else df.limit(0)
+        return self.fact(table or bronze).filter(F.col("part_date").isin(self.touched[bronze]))
 
     def cost(self) -> dict:
-        w, bronze = self.lake.read("dims/dim_workspace"), "bronze_billing_usage"
-        silver = facts.silver_usage(self._touched(bronze, "usage_date"), w)
-        self._save("silver_billing_usage", silver, "record_id", "usage_date")
-        part = self._touched(bronze, "usage_date", "silver_billing_usage")
-        cost = facts.cost_fact(part, self.lake.read("bronze/bronze_billing_prices"), w)
+        bronze = "bronze_billing_usage"
+        if not self.touched[bronze]:
+            return {}
+        w = self.lake.read("dims/dim_workspace")
+        self._save("silver_billing_usage", facts.silver_usage(self._touched(bronze), w), "record_id", "usage_date")
+        silver = self._touched(bronze, "silver_billing_usage")
+        cost = facts.cost_fact(silver, self.lake.read("bronze/bronze_billing_prices"), w)
         return self._save("fact_cost", cost, "cost_id", "usage_date")
 
     def audit_fact(self) -> dict:
-        rows = facts.audit_fact(self._touched("bronze_audit_events", "event_date"), self.lake.read("dims/dim_workspace"))
+        if not self.touched["bronze_audit_events"]:
+            return {}
+        rows = facts.audit_fact(self._touched("bronze_audit_events"), self.lake.read("dims/dim_workspace"))
         return self._save("fact_audit_event", rows, "audit_event_id", "event_date")
 
     def rollups(self) -> dict:
         """Daily aggregates of the touched partitions, replaced as a whole."""
-        cost = self._touched("bronze_billing_usage", "usage_date", "fact_cost")
-        audit = self._touched("bronze_audit_events", "event_date", "fact_audit_event")
-        tags = {"project": ("project", "Project"), "application": ("application", "app")}
-        for table, date, rows in [
-            ("workspace_day", "usage_date", gold.workspace_day(cost)),
-            ("gold_sku_cost", "usage_date", gold.sku_daily(cost)),
-            ("gold_user_cost", "usage_date", gold.user_daily(cost)),
-            ("gold_job_cost", "usage_date", gold.job_daily(cost)),
-            ("gold_cluster_cost", "usage_date", gold.cluster_daily(cost)),
-            ("warehouse_day", "usage_date", gold.rollup_cost(cost, ["usage_date", "workspace_id", "warehouse_id"], not_null="warehouse_id")),
-            ("fact_cost_allocation", "allocation_date", facts.allocate(cost, tags)),
-            ("gold_audit_summary", "event_date", gold.audit_summary(audit)),
-        ]:
+        out = []
+        if self.touched["bronze_billing_usage"]:
+            cost = self._touched("bronze_billing_usage", "fact_cost")
+            tags = {"project": ("project", "Project"), "application": ("application", "app")}
+            warehouse = ["usage_date", "workspace_id", "warehouse_id"]
+            out += [
+                ("workspace_day", "usage_date", gold.workspace_day(cost)),
+                ("gold_sku_cost", "usage_date", gold.sku_daily(cost)),
+                ("gold_user_cost", "usage_date", gold.user_daily(cost)),
+                ("gold_job_cost", "usage_date", gold.job_daily(cost)),
+                ("gold_cluster_cost", "usage_date", gold.cluster_daily(cost)),
+                ("warehouse_day", "usage_date", gold.rollup_cost(cost, warehouse, not_null="warehouse_id")),
+                ("fact_cost_allocation", "allocation_date", facts.allocate(cost, tags)),
+            ]
+        if self.touched["bronze_audit_events"]:
+            audit = self._touched("bronze_audit_events", "fact_audit_event")
+            out.append(("gold_audit_summary", "event_date", gold.audit_summary(audit)))
+        for table, date, rows in out:
             replace_partitions(self.path(table), self._part(rows, date), "part_date")
         return {}
 
     def checks(self) -> dict:
-        """The rules over the partitions of this run, prices and workspaces as a whole."""
+        """The rules over the partitions of this run; prices and workspaces as a whole."""
         run = uuid.uuid4().hex
-        usage = self._touched("bronze_billing_usage", "usage_date")
+        usage, audit, w = "bronze_billing_usage", "bronze_audit_events", self.lake.read("dims/dim_workspace")
+        todo = [(self.lake.read("bronze/bronze_billing_prices"), "bronze_billing_prices", price_rules())]
+        if self.touched[usage]:
+            todo += [
+                (self._touched(usage), usage, usage_rules()),
+                (self._touched(usage, "fact_cost"), "fact_cost", cost_rules()),
+                (workspace_activity(w, self._touched(usage)), "dim_workspace", workspace_rules()),
+            ]
+        if self.touched[audit]:
+            todo.append((self._touched(audit), audit, audit_rules()))
         log = None
-        for df, name, rules in [
-            (usage, "bronze_billing_usage", usage_rules()),
-            (self._touched("bronze_billing_usage", "usage_date", "fact_cost"), "fact_cost", cost_rules()),
-            (self.lake.read("bronze/bronze_billing_prices"), "bronze_billing_prices", price_rules()),
-            (self._touched("bronze_audit_events", "event_date"), "bronze_audit_events", audit_rules()),
-            (workspace_activity(self.lake.read("dims/dim_workspace"), usage), "dim_workspace", workspace_rules()),
-        ]:
+        for df, name, rules in todo:
             one = run_checks(df, name, rules, run, self.now)
             log = one if log is None else log.unionByName(one)
         self.lake.append("meta/dq_execution_log", log)
@@ -206,6 +223,8 @@ class DailyBatch:
 
     def anomalies(self) -> dict:
         """Detected on the daily aggregates, which carry the same sums as the fact."""
+        if not self.touched["bronze_billing_usage"]:
+            return {}
         day, sku = self.fact("workspace_day"), self.fact("gold_sku_cost")
         resources = {"job_id": "gold_job_cost", "cluster_id": "gold_cluster_cost", "warehouse_id": "warehouse_day"}
         names = self.lake.read("dims/dim_workspace").select("workspace_id", "workspace_name")
@@ -220,6 +239,8 @@ class DailyBatch:
 
     def gold(self) -> dict:
         """Changes against the previous day and month, from one row per workspace and day."""
+        if not self.touched["bronze_billing_usage"]:
+            return {}
         day = self.fact("workspace_day")
         self.lake.overwrite("gold/gold_workspace_daily_cost", gold.workspace_daily(day))
         self.lake.overwrite("gold/gold_workspace_monthly_cost", gold.workspace_monthly(day))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.merge import ACTION, action_metrics, insert_missing, upsert
+from ledgerline.operators.merge import ACTION, action_metrics, missing_rows, upsert
 
 _HISTORY = (
     "version BIGINT, committed_at TIMESTAMP, operation STRING, folders ARRAY<STRING>, "
@@ -129,18 +129,16 @@ class Lake:
         """Upsert into the table; the counts are taken while the new state is written."""
         if not self.exists(name):
             self.commit(name, source.limit(0), "create")
-        return self._merged(name, upsert(self.read(name), source, keys, **options), "merge")
+        seen = Observation()
+        state = upsert(self.read(name), source, keys, **options)
+        return self.commit(name, state.observe(seen, *action_metrics()).drop(ACTION), "merge", metrics=seen)
 
     def insert_missing(self, name: str, source: DataFrame, keys: Sequence[str]) -> dict[str, int]:
-        if not self.exists(name):
-            self.commit(name, source.limit(0), "create")
-        return self._merged(name, insert_missing(self.read(name), source, keys), "insert_missing")
-
-    def _merged(self, name: str, state: DataFrame, operation: str) -> dict[str, int]:
+        """Insert-only merge: only the new rows are written."""
+        fresh = missing_rows(self.read(name), source, keys) if self.exists(name) else source
         seen = Observation()
-        out = state.observe(seen, *action_metrics()).drop(ACTION)
-        return self.commit(name, out, operation, metrics=seen)
-
+        rows = fresh.observe(seen, F.count(F.lit(1)).alias("inserted"))
+        return self.commit(name, rows, "insert_missing", keep=True, metrics=seen)
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
     """The old columns, then those that only the new schema has, all nullable."""

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerline.operators.merge import dedup_latest
 from ledgerline.operators.quality import expect
-from ledgerline.sources.tables import Lake
+from ledgerline.sources.tables import Lake, upsert_partitions
 from ledgerline.streaming.ingest import append_once, run_available
 
 
@@ -49,6 +49,16 @@ def merge_batches(lake: Lake, name: str, keys: Sequence[str], unique: bool = Tru
     return write
 
 
+def merge_partitions(path: str, keys: Sequence[str], partition: str) -> Callable:
+    """A batch writer that upserts into a partitioned folder: a batch rewrites the partitions it
+    touches, so its cost does not grow with the table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_partitions(batch.sparkSession, path, batch, keys, partition, unique_source=True)
+
+    return write
+
+
 def unique_events(stream: DataFrame, ts: str, delay: str, key: str) -> DataFrame:
     """First event per key; state is dropped once the watermark has passed."""
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
@@ -119,8 +129,3 @@ def replay(lake_stream: Callable[[], DataFrame], slices: Sequence[DataFrame], la
         out.append(run(lake_stream()))
     return out
 
-
-__all__ = [
-    "append_once", "batch_counts", "correct_windows", "dropped_by_watermark", "layered_batch", "merge_batches",
-    "parse_json_stream", "replay", "run_available", "unique_events", "windowed_counts",
-]
