@@ -98,6 +98,14 @@ def upsert(
     return joined.select(*out, action.alias(ACTION))
 
 
+def first_load(source: DataFrame, keys: Sequence[str], unique_source: bool = False) -> DataFrame:
+    """What an upsert into an empty table gives."""
+    if not unique_source:
+        checked = one_row_per_key(source, list(keys), "", "_in_s").filter("_in_s")
+        source = checked.select(*source.columns)
+    return source.withColumn(ACTION, F.lit("insert"))
+
+
 def missing_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The source rows whose key the target lacks."""
     on = None

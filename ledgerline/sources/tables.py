@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.merge import ACTION, action_metrics, missing_rows, upsert
+from ledgerline.operators.merge import ACTION, action_metrics, first_load, missing_rows, upsert
 
 _HISTORY = (
     "version BIGINT, committed_at TIMESTAMP, operation STRING, folders ARRAY<STRING>, "
@@ -127,10 +127,11 @@ class Lake:
 
     def merge(self, name: str, source: DataFrame, keys: Sequence[str], **options) -> dict[str, int]:
         """Upsert into the table; the counts are taken while the new state is written."""
-        if not self.exists(name):
-            self.commit(name, source.limit(0), "create")
         seen = Observation()
-        state = upsert(self.read(name), source, keys, **options)
+        if self.exists(name):
+            state = upsert(self.read(name), source, keys, **options)
+        else:
+            state = first_load(source, keys, options.get("unique_source", False))
         return self.commit(name, state.observe(seen, *action_metrics()).drop(ACTION), "merge", metrics=seen)
 
     def insert_missing(self, name: str, source: DataFrame, keys: Sequence[str]) -> dict[str, int]:
@@ -175,7 +176,7 @@ def upsert_partitions(
             )
         state = upsert(old, source, keys, **options)
     else:
-        state = upsert(source.limit(0), source, keys, **options)
+        state = first_load(source, keys, options.get("unique_source", False))
     out = state.observe(seen, *action_metrics()).drop(ACTION).hint("rebalance", partition)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     return {k: int(v) for k, v in seen.get.items()}

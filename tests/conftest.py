@@ -13,7 +13,11 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("tests", 8, "6g", **{"spark.sql.shuffle.partitions": "4"})
+    s = local_session(
+        "tests", 8, "6g",
+        # Small data: planning and code generation would take longer than the work.
+        **{"spark.sql.shuffle.partitions": "2", "spark.sql.codegen.wholeStage": "false"},
+    )
     s.sparkContext.setLogLevel("OFF")
     yield s
     s.stop()
