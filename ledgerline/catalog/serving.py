@@ -123,27 +123,29 @@ def _(i: Inputs) -> DataFrame:
     return serving.audit_breakdowns(i.audit)
 
 
-_IDS = ["1", "5", "12"]
+_IDS = [str(n) for n in range(25)]
 
 
 def _compare_sql() -> str:
-    values = {
-        "cost": D("SUM(estimated_cost)"), "usage": D("SUM(usage_quantity)"), "users": D("COUNT(DISTINCT user_id)"),
-        "jobs": D("COUNT(DISTINCT job_id)"),
-        "cost_per_user": f"{D('SUM(estimated_cost)')} / COUNT(DISTINCT user_id)",
-        "cost_per_job": f"{D('SUM(estimated_cost)')} / COUNT(DISTINCT job_id)",
-    }
-    def cells(table: str, e: str) -> str:
-        return ", ".join(f"(SELECT {e} FROM {table} WHERE workspace_id = '{w}') AS \"{w}\"" for w in _IDS)
-    rows = [f"SELECT '{m}' AS metric, {cells('cost', e)}" for m, e in values.items()]
-    rows += [f"SELECT 'events' AS metric, {cells('audit', D('COUNT(*)'))}",
-             f"SELECT 'failed_events' AS metric, {cells('audit', D('COUNT(*) FILTER (WHERE response_status >= 400)'))}"]
-    return using("cost", "audit") + "\n" + "\nUNION ALL ".join(rows)
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{m}' AS metric, " + ", ".join(f"MAX({m}) FILTER (WHERE workspace_id = '{w}') AS \"{w}\"" for w in _IDS) + " FROM per"
+        for m in serving.COMPARE
+    )
+    return using("cost", "audit") + f""",
+c AS (SELECT workspace_id, {D('SUM(estimated_cost)')} AS cost, {D('SUM(usage_quantity)')} AS usage,
+             COUNT(DISTINCT user_id) AS users, COUNT(DISTINCT job_id) AS jobs FROM cost GROUP BY 1),
+a AS (SELECT workspace_id, COUNT(*) AS events, COUNT(*) FILTER (WHERE response_status >= 400) AS failed_events FROM audit GROUP BY 1),
+per AS (SELECT w.workspace_id, cost, usage, {D('COALESCE(users, 0)')} AS users, {D('COALESCE(jobs, 0)')} AS jobs,
+               {D('COALESCE(events, 0)')} AS events, {D('COALESCE(failed_events, 0)')} AS failed_events,
+               CASE WHEN users > 0 THEN cost / users END AS cost_per_user, CASE WHEN jobs > 0 THEN cost / jobs END AS cost_per_job
+        FROM workspace w LEFT JOIN c USING (workspace_id) LEFT JOIN a USING (workspace_id))
+{rows}"""
 
 
 @query("workspace_compare", _compare_sql())
 def _(i: Inputs) -> DataFrame:
-    return serving.workspace_compare(i.cost("user"), i.audit, _IDS)
+    ids = [r.workspace_id for r in i.workspace.select("workspace_id").collect()]
+    return serving.workspace_compare(i.cost("user"), i.audit, sorted(ids, key=int))
 
 
 @query("drill_rollup", using("cost") + f"""
