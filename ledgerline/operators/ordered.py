@@ -36,11 +36,11 @@ def ordered_functions(
     column and ``prev_value`` / ``next_value`` of another, per ``keys`` in the order of ``order``.
 
     Rows that tie on ``order`` are numbered by ``tie``, which must make the order total. ``block``
-    must grow with ``order`` (never split equal values) and both must be non-NULL.
+    must grow with ``order`` and never split equal values. NULLs sort as in a plain window.
     """
     keys = list(keys)
     direction = (lambda c: F.desc(c)) if descending else (lambda c: F.asc(c))
-    df = df.withColumns({"_k": _group(keys), "_blk": block})
+    df = df.withColumns({"_k": _group(keys), "_blk": F.struct(block.alias("b"))})
     sort = [direction(order), *[F.asc(c) for c in tie]]
     inside = Window.partitionBy("_k", "_blk").orderBy(*sort)
     by_value = Window.partitionBy("_k", "_blk").orderBy(direction(order))
@@ -73,7 +73,7 @@ def ordered_functions(
     if running:
         totals.append(F.sum("_s").alias("_s"))
     if neighbours:
-        totals += [at_start("_lo", order).alias("_lo"), at_end("_hi", order).alias("_hi")]
+        totals += [at_start("_lo", F.struct(order)).alias("_lo"), at_end("_hi", F.struct(order)).alias("_hi")]
     blocks = values.groupBy("_k", "_blk").agg(*totals)
 
     chain = Window.partitionBy("_k").orderBy(direction("_blk"))

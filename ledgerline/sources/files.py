@@ -191,11 +191,10 @@ def copy_into(lake: Lake, name: str, fmt: str, src: str, schema: T.StructType |
         new = new.join(done, "file", "left_anti")
     n = new.count()
     lots = -(-n // LOAD_FILES)
-    chosen = [
-        [r.path for r in new.filter(F.pmod(F.xxhash64("file"), F.lit(lots)) == k).select("path").collect()]
-        for k in range(lots)
-    ]
-    for paths in filter(None, chosen):
+    for lot in range(lots):
+        paths = [r.path for r in new.filter(F.pmod(F.xxhash64("file"), F.lit(lots)) == lot).select("path").collect()]
+        if not paths:
+            continue
         reader = spark.read.options(**format_options(fmt)).format(fmt)
         if schema is not None:
             reader = reader.schema(schema)

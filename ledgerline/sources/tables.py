@@ -73,15 +73,15 @@ class Lake:
         schema = T.StructType.fromJson(json.loads(state.schema_json))
         if not state.folders:
             return self.spark.createDataFrame([], schema)
-        parts = [self._read_folder(f, schema) for f in state.folders]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+        paths = [f"{self.root}/{f}" for f in state.folders]
+        if not state.partition_by:
+            return self.spark.read.schema(schema).parquet(*paths)
+        # Partition columns are found below one folder at a time.
+        out = self.spark.read.schema(schema).parquet(paths[0])
+        for p in paths[1:]:
+            out = out.unionByName(self.spark.read.schema(schema).parquet(p))
         return out
 
-    def _read_folder(self, folder: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
-
     def commit(
         self,
         name: str,
@@ -95,6 +95,8 @@ class Lake:
         """Write ``df`` as the new state, or add it to the present one with ``keep``."""
         before = self._state(name)
         version = 0 if before is None else before.version + 1
+        if keep and before is not None:
+            partition_by = before.partition_by
         folder = f"{name}/data/v{version:06d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.root}/{folder}")

@@ -61,6 +61,15 @@ def test_employee_merge_history_and_time_travel(spark, lake):
     assert lake.read(name).count() == 0
 
 
+def test_partitioned_table_append(spark, lake):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    lake.overwrite("t", df, partition_by=["p"])
+    lake.append("t", spark.createDataFrame([(3, "a")], "id int, p string"))
+    assert sorted((r.id, r.p) for r in lake.read("t").collect()) == [(1, "a"), (2, "b"), (3, "a")]
+    lake.clone("t", "u")
+    assert lake.read("u").count() == 3
+
+
 def test_employee_aggregates(spark):
     df = spark.createDataFrame(EMPLOYEES, COLS)
     avg = {r.department: r.a for r in df.groupBy("department").agg(F.avg("salary").alias("a")).collect()}

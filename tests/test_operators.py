@@ -35,7 +35,7 @@ def skewed(n, seed=1):
 
 @pytest.mark.parametrize("descending", [False, True])
 def test_ordered_functions_equal_plain_windows(spark, descending):
-    df = spark.createDataFrame(skewed(900), "k string, v int, id int")
+    df = spark.createDataFrame(skewed(900) + [("hot", None, 2000), ("hot", None, 2001), ("n", None, 2002)], "k string, v int, id int")
     got = ordered_functions(df, ["k"], "v", ["id"], F.floor(F.col("v") / 7), descending=descending, running="id", neighbours="id")
     by = F.desc("v") if descending else F.asc("v")
     w, r = Window.partitionBy("k").orderBy(by, "id"), Window.partitionBy("k").orderBy(by)
