@@ -168,7 +168,8 @@ def asof_join(
 
     Keys are cut into time buckets: a window inside each bucket, plus one carried row per bucket.
     Both use one shuffle on (key, bucket), so a hot key is spread over its buckets. Right rows with
-    the same key and time are ranked by their values; NULL keys match nothing.
+    the same key and time are ranked by their values; NULL keys match nothing. The left side is
+    evaluated twice (once for its buckets), so write it first if it is expensive to compute.
     """
     right = right.dropna(subset=[*by, right_ts])
     payload = F.struct(F.col(right_ts).cast("timestamp").alias("_at"), *values)
