@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as e
+from ledgerline.catalog import ORACLE, QUERIES
 from compare import compare, connect
 from conftest import DATA
 
-QUERIES, SQL = e.queries(), e.oracle_sql()
+SQL = ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -23,4 +24,5 @@ def test_query(spark, con, name):
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(e.queries()) and set(SQL) <= set(e.oracle_sql())
     assert set(QUERIES) - set(SQL) == {"forest_metrics", "batch_scoring"}
