@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.common import table
+from ledgerline.llm.langid import identify
+from ledgerline.llm.line_dedup import dedup_lines
+from ledgerline.llm.mixing import mixed_counts
+from ledgerline.llm.lm import score_texts
 from ledgerline.llm.near_text import near_duplicates
+from ledgerline.llm.near_vectors import near_vectors
+from ledgerline.llm.quality_rules import judge
+from ledgerline.llm.packing import best_fit
+from ledgerline.llm.tokens import public_path, token_counts
+from ledgerline.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,6 +27,51 @@ def query(f):
     return f
 
 
+@query
+def op2_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    return token_counts(table(spark, root, "documents"), public_path("byte_bpe_50k.json"), limit=512)
+
+
+@query
+def op3_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return dedup_lines(table(spark, root, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+@query
+def op5_lm_scores(spark: SparkSession, root: str) -> DataFrame:
+    return score_texts(table(spark, root, "documents"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    return judge(table(spark, root, "documents"))
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return near_vectors(table(spark, root, "embeddings"))
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(table(spark, root, "documents"), width=4, percent=80)
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
+    return best_fit(table(spark, root, "documents"), public_path("word_bpe_49k.json"), capacity=2048, separator=0)
+
+
+@query
+def op9_source_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mixed_counts(table(spark, root, "documents"))
+
+
+@query
+def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
+    return identify(table(spark, root, "documents"))
