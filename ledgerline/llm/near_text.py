@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from ledgerline.llm.graph import components
 #: A pair at similarity 0.8 meets in no table with probability 2 * (1 - 0.8 ** ROWS) ** SIDE = 0.0006.
 SIDE, ROWS = 8, 2
 SIGNATURE = 2 * SIDE * ROWS
-#: Equal minhashes below which a pair is not compared in full: five standard deviations below 0.8 of 32.
-LEAST_EQUAL = 14
+#: Cells of a sketch that estimates similarity, and how many standard deviations below the limit a pair may lie there
+#: and still be compared in full. Members of a block of a table's members.
+CELLS, SLACK, BLOCK = 256, 4.0, 512
 FACTORS = np.random.default_rng(7).integers(1, 2**63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -40,19 +42,37 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch_cells(found: np.ndarray) -> np.ndarray:
+    """One byte of the least hash in each of CELLS equal ranges of hashes; 0 where there is none."""
+    cell = (found >> np.uint64(56)).astype(np.int64)
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    out = np.zeros(CELLS, np.uint8)
+    out[cell[first]] = 1 + (mix64(found[first]) >> np.uint64(40)) % np.uint64(255)
+    return out
+
+
+def near_cells(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches, along the last axis, may belong to sets of at least this similarity."""
+    filled = ((x | y) != 0).sum(axis=-1)
+    same = ((x == y) & (x != 0)).sum(axis=-1)
+    limit = percent / 100
+    return same >= limit * filled - SLACK * np.sqrt(limit * (1 - limit) * filled) - 1
+
+
 def _sketch(width: int):
     def run(batches):
         for batch in batches:
-            sizes, a, b, signatures = [], [], [], []
+            sizes, a, b, signatures, cells = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, width)
                 sizes.append(len(s))
                 a.append(int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0)
                 b.append(int(mix64(s * FACTORS[0]).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 signatures.append(signature(s).tobytes() if len(s) else b"")
+                cells.append(sketch_cells(s).tobytes() if len(s) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(signatures, pa.binary()), pa.array(cells, pa.binary())],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "cells"],
             )
 
     return run
@@ -73,12 +93,37 @@ def _tables(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()[i : i + 100_000].view(np.int64)), pa.array(nodes[i : i + 100_000])], names=["key", "rep"])
 
 
-def _alike(batches):
-    for batch in batches:
-        n = batch.num_rows
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(n, SIGNATURE) for c in ("x", "y"))
-        keep = pa.array((x == y).sum(axis=1) >= LEAST_EQUAL)
-        yield batch.select(["a", "b"]).filter(keep)
+def _alike(percent: int):
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(n, CELLS) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array(near_cells(x, y, percent), pa.bool_()))
+
+    return run
+
+
+def _apart(percent: int):
+    """Pairs of a table's members, from two blocks, that are in different components and may be similar enough."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        low, high = int(frame["low"].iloc[0]), int(frame["high"].iloc[0])
+        x, y = (frame[frame["block"] == k] for k in (low, high))
+        out = [np.zeros((2, 0), np.int64)]
+        if len(x) and len(y):
+            rep, component, size = ([f[c].to_numpy() for f in (x, y)] for c in ("rep", "component", "n_shingles"))
+            cells = [np.frombuffer(b"".join(f["cells"]), np.uint8).reshape(len(f), CELLS) for f in (x, y)]
+            for i in range(len(x)):
+                near = (component[1] != component[0][i]) & (100 * np.minimum(size[1], size[0][i]) >= percent * np.maximum(size[1], size[0][i]))
+                if low == high:
+                    near &= rep[1] > rep[0][i]
+                at = np.flatnonzero(near)
+                at = at[near_cells(cells[0][i], cells[1][at], percent)]
+                out.append(np.stack([np.minimum(rep[1][at], rep[0][i]), np.maximum(rep[1][at], rep[0][i])]))
+        a, b = np.concatenate(out, axis=1)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return run
 
 
 def _verify(width: int, percent: int):
@@ -97,13 +142,8 @@ def _verify(width: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(near: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of representatives that are similar enough on their full sets."""
-    size = "100 * least(n, m) >= {} * greatest(n, m)".format(percent)
-    a = reps.select(F.col("rep").alias("a"), F.col("signature").alias("x"), F.col("n_shingles").alias("n"))
-    b = reps.select(F.col("rep").alias("b"), F.col("signature").alias("y"), F.col("n_shingles").alias("m"))
-    near = pairs.join(a, "a").join(b, "b").where(size).select("a", "b", "x", "y").mapInArrow(_alike, "a long, b long")
-    near = materialise(near, "near")
     needed = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
     texts = materialise(docs.join(needed, "doc_id", "left_semi"), "texts")
     full = near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
@@ -116,40 +156,49 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Texts whose shingle sets have 100 * intersection >= percent * union are linked, after comparing the full sets;
     component_id is the smallest doc_id reachable, and kept marks it. Candidates come from tables whose keys pair two
-    sub-keys of a smaller collection of minhashes. Equal sets are folded first. In each table all members are
-    compared with the smallest one; members of one table that are then still in different components are compared
-    too, each with all others, so that no pair that shares a table is skipped unless it is already connected.
+    sub-keys of a smaller collection of minhashes. Equal sets are folded first. In each table all members are first
+    compared with one of them, the one that meets most others over all tables: the common origin of copies, if there
+    is one. Where a table's members are then not all connected, those in different components are compared with each
+    other, block by block and by sketch; only pairs that may be similar leave the task, and are compared in full. So
+    no pair that shares a table is skipped unless it is connected already.
 
     NULL or blank texts have no shingle, stand alone and are kept. Repeated rows give repeated results; rows of one
     doc_id count as one document in links. A NULL doc_id stands alone. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    sketch = docs.mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
+    sketch = docs.mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, signature binary, cells binary")
     sketch = materialise(sketch, "sketch")
     same = ["set_a", "set_b", "n_shingles"]
-    reps = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
-    reps = materialise(reps, "reps")
+    reps = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same)
+    reps = materialise(reps.agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("cells").alias("cells")), "reps")
     rows = reps.select("rep", "signature").mapInArrow(_tables, "key long, rep long")
+    met = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    rows = materialise(rows.join(met, "key"), "tables")
 
-    least = rows.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    met = rows.join(least, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    first = _links(met, reps, docs, width, percent)
-    known = components(first)
-
-    # Tables whose members are not all connected yet: their smaller components against all other members.
-    named = rows.join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    named = materialise(named.join(mixed, "key", "left_semi"), "mixed")
-    sizes = named.groupBy("key", "component").count()
-    most = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("most")).select("key", F.col("most.component").alias("major"))
-    movers = named.join(most, "key").where("component <> major").select("key", F.col("rep").alias("b"), F.col("component").alias("own"), "major")
-    apart = named.join(movers, "key").where("component <> own AND (component = major OR rep < b)")
-    apart = apart.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-    second = _links(apart, reps, docs, width, percent)
-
-    links = first.union(second)
-    groups = components(links).withColumnRenamed("node", "rep")
+    degree = rows.groupBy("rep").agg(F.sum("n").alias("degree"))
+    center = rows.join(degree, "rep").groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("d"), "rep")).alias("first"))
+    pairs = rows.join(center.select("key", F.col("first.rep").alias("a")), "key").where("rep <> a")
+    pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+    size = "100 * least(n, m) >= {} * greatest(n, m)".format(percent)
+    a = reps.select(F.col("rep").alias("a"), F.col("cells").alias("x"), F.col("n_shingles").alias("n"))
+    b = reps.select(F.col("rep").alias("b"), F.col("cells").alias("y"), F.col("n_shingles").alias("m"))
+    near = pairs.join(a, "a").join(b, "b").where(size).select("a", "b", "x", "y").mapInArrow(_alike(percent), "a long, b long")
+    near = materialise(near, "near")
+    first = _links(near, docs, width, percent)
+    known = components(first).withColumnRenamed("node", "rep")
+
+    named = rows.join(known, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high")
+    mixed = mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    named = named.join(mixed, "key").join(reps.select("rep", "n_shingles", "cells"), "rep")
+    named = named.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    named = named.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    named = named.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "blocks")
+    apart = named.groupBy("key", "low", "high").applyInPandas(_apart(percent), "a long, b long").distinct()
+    apart = materialise(apart.join(near, ["a", "b"], "left_anti"), "near")
+    second = _links(apart, docs, width, percent)
+
+    groups = components(first.union(second)).withColumnRenamed("node", "rep")
     groups = reps.select("rep", *same).join(groups, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
     out = sketch.select("doc_id", *same).join(groups, same, "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
