@@ -260,9 +260,10 @@ def _ask(shared, hot, shards: int, other_shards: int):
             if local.any():
                 score += np.bincount(place[local], hot_logs[at[local]], n)
             rows = [(0, 0, np.array([-1 if g[0] is None else g[0] for g in group], "<i8").tobytes() + np.array([[len(g[2]) + 1, g[1], g[0] is None] for g in group], "<i8").T.tobytes(), known.astype("<i8").tobytes(), np.stack([base, score]).astype("<f8").tobytes())]
-            cold, times = np.unique((pairs[~local] << 32) | place[~local], return_counts=True)
-            for s, q, m in _by_shard(shard_of(cold >> 32, shards), cold, times):
-                rows.append((1, s, (q >> 32).astype("<u4").tobytes(), (q & 0xFFFFFFFF).astype("<u4").tobytes(), m.astype("<u4").tobytes()))
+            cold, times = np.unique((pairs[~local].astype(np.uint64) << np.uint64(32)) | place[~local].astype(np.uint64), return_counts=True)
+            cold, texts = (cold >> np.uint64(32)).astype(np.int64), cold.astype(np.uint32)
+            for s, q, t, m in _by_shard(shard_of(cold, shards), cold, texts, times):
+                rows.append((1, s, q.astype("<u4").tobytes(), t.astype("<u4").tobytes(), m.astype("<u4").tobytes()))
             hashes, inside = np.concatenate([g[2] for g in group]), ids != END
             out = (ids == OTHER)[inside]
             order = np.lexsort((place[inside][out], hashes[out]))
@@ -396,7 +397,7 @@ def score_texts(docs: DataFrame, modulus: int = 7, out: int = 2) -> DataFrame:
     found = tries.select("often", "often_counts", "often_steps").mapInPandas(_often(least), "pairs binary, steps binary").collect()
     hot_pairs, hot_steps = _numbers([r[0] for r in found], "<u4").astype(np.int64), _numbers([r[1] for r in found], "<u2")
     order = np.argsort(hot_pairs)
-    hot = spark.sparkContext.broadcast((hot_pairs[order], -hot_steps[order] * STEP))
+    hot = spark.sparkContext.broadcast((hot_pairs[order], hot_steps[order] * -STEP))
 
     asked = materialise(rows.mapInArrow(_ask(shared, hot, shards, other_shards), QUERIES), "queries")
     one = asked.where("kind = 1").groupBy("shard").cogroup(tries.select("shard", "trie").groupBy("shard")).applyInPandas(_answer_pairs(shared), ANSWERS)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
+from struct import pack
 
 import pandas as pd
 import pyarrow as pa
@@ -12,10 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Generations, materialise
-from ledgerline.llm.tokens import CACHED, LONGEST, WORDS, grouped, tokenizer
+from ledgerline.llm.tokens import LONGEST, WORDS, grouped, tokenizer
 
 #: A bin with at most this share of room left is emitted; one task of a later round packs about POOL bins.
 NEARLY_FULL, POOL = 0.005, 20_000
+#: Pieces of a Latin-1 text in lower case, split as the tokenizer of lower-case words does (fixed values).
+LATIN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\t-\\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+CACHED = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, place long"
 
 
@@ -44,13 +49,20 @@ class BestFit:
 
 def _ids(path: str):
     def find(words: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
+        return [pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
 
     return find
 
 
+def latin(text: str) -> str | None:
+    """The text in lower case if it is plain Latin-1 without special strings, else None."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if "<|" in text else text.lower()
+
+
 @lru_cache(maxsize=4)
 def _cache(path: str) -> Generations:
     return Generations(_ids(path), CACHED)
@@ -60,7 +72,7 @@ def encoded(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers, for a tokenizer that drops blanks between words."""
     cache, out = _cache(path), []
     for group in grouped(texts):
-        words = [WORDS.findall(t) for t in group]
+        words = [WORDS.findall(t) if (low := latin(t)) is None else LATIN.findall(low) for t in group]
         cache.fill([w for ws in words for w in ws if len(w) <= LONGEST])
         for ws in words:
             if max(map(len, ws), default=0) <= LONGEST:
@@ -118,7 +130,8 @@ def best_fit(docs: DataFrame, path: str, capacity: int = 2048, separator: int =
     pools of a bounded number of bins, until a round saves less than one bin in a hundred or one pool held all.
 
     NULL and empty texts are the separator alone. Repeated rows are packed each; a NULL doc_id stays NULL. An empty
-    table gives no row. Other columns are ignored. The tokenizer's own split must not reach across blanks.
+    table gives no row. Other columns are ignored. The tokenizer is one of lower-case words, whose own split does not
+    reach across blanks: texts in Latin-1 are split into its pieces here, other texts at blanks.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     pieces = materialise(docs.mapInArrow(_local(path, capacity, separator), PIECES), "pieces")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import id_remainder
 
 LETTERS = re.compile(r"[^\W\d_]+")
-BROKEN = re.compile(r"[^\W\d_]+[\d@$*!|+#%&]+[^\W\d_]+")
+BROKEN = re.compile(r"(?<=[^\W\d_])[\d@$*!|+#%&]+(?=[^\W\d_])")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
 #: Characters that stand for letters, and words of address in several languages.
 STANDS_FOR = str.maketrans("013457@$!|+", "oieastasiit")
@@ -98,7 +98,8 @@ def features(text: str, weights: dict[str, float]) -> list[float]:
             k = np.searchsorted(at, i)
             near += min(abs(int(at[min(k, len(at) - 1)]) - i), abs(int(at[max(0, k - 1)]) - i)) <= 5
     broken = BROKEN.findall(text)
-    broken_hits = sum(b.lower().translate(STANDS_FOR) in weights for b in broken)
+    plain = [w.lower().translate(STANDS_FOR).strip(".,;:?") for w in text.split() if BROKEN.search(w)] if broken else []
+    broken_hits = sum(w in weights for w in plain)
     upper = sum(map(str.isupper, words))
     capitals = sum(w[0].isupper() for w in words)
     marks = len(text) - sum(map(len, words)) - text.count(" ") - text.count("\n")
