@@ -48,12 +48,30 @@ class BestFit:
 
 
 def _ids(path: str):
+    """Ids of whole words, by the tokenizer as it is."""
+
     def find(words: list[str]) -> list[bytes]:
         return [pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
 
     return find
 
 
+def _piece_ids(path: str):
+    """Ids of pieces of LATIN: what is left of the tokenizer's work is its byte alphabet and its merges."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = (b for b in range(256) if b not in plain)
+    signs = {b: 256 + k for k, b in enumerate(rest)}
+
+    def find(pieces: list[str]) -> list[bytes]:
+        merge, out = tokenizer(path).model.tokenize, []
+        for piece in pieces:
+            ids = [t.id for t in merge(piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(signs))]
+            out.append(pack(f"<{len(ids)}I", *ids))
+        return out
+
+    return find
+
+
 def latin(text: str) -> str | None:
     """The text in lower case if it is plain Latin-1 without special strings, else None."""
     try:
@@ -64,21 +82,20 @@ def latin(text: str) -> str | None:
 
 
 @lru_cache(maxsize=4)
-def _cache(path: str) -> Generations:
-    return Generations(_ids(path), CACHED)
+def _caches(path: str) -> tuple[Generations, Generations]:
+    return Generations(_ids(path), CACHED // 4), Generations(_piece_ids(path), CACHED)
 
 
 def encoded(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers, for a tokenizer that drops blanks between words."""
-    cache, out = _cache(path), []
+    out = []
     for group in grouped(texts):
-        words = [WORDS.findall(t) if (low := latin(t)) is None else LATIN.findall(low) for t in group]
-        cache.fill([w for ws in words for w in ws if len(w) <= LONGEST])
-        for ws in words:
-            if max(map(len, ws), default=0) <= LONGEST:
-                out.append(b"".join(map(cache.__getitem__, ws)))
-            else:
-                out.append(b"".join(cache[w] if len(w) <= LONGEST else _ids(path)([w])[0] for w in ws))
+        words, low = [], [latin(t) for t in group]
+        for cache, found in zip(_caches(path), ((WORDS.findall(t) if x is None else () for t, x in zip(group, low)), (LATIN.findall(x or "") for x in low))):
+            split = list(found)
+            cache.fill([w for ws in split for w in ws if len(w) <= LONGEST])
+            words.append([b"".join(map(cache.__getitem__, ws)) if max(map(len, ws), default=0) <= LONGEST else b"".join(cache[w] if len(w) <= LONGEST else cache.find([w])[0] for w in ws) for ws in split])
+        out += [a or b for a, b in zip(*words)]
     return out
 
 
