@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,9 @@ CLASSES = {
 }
 #: Common words have at most so many letters; so many of a language are compared.
 COMMON_LETTERS, COMMON = 5, 24
-#: Farthest Jensen-Shannon distances (0 to 1) that are kept, and what a text needs to be judged by them.
-FAR_CHARS, FAR_WORDS = 0.30, 0.60
+#: Farthest Jensen-Shannon distances (0 to 1) that are kept, and what a text needs to be judged by them. The distance
+#: of n words drawn from the reference itself is about sqrt(COMMON / (8 ln 2 n)); FAR_WORDS comes on top of that.
+FAR_CHARS, FAR_WORDS = 0.30, 0.15
 LEAST_CHARS, LEAST_WORDS = 200, 80
 #: Windows that are looked up in a list of repeated ones; with more of them, positions are sorted instead.
 LOOKED_UP = 64
