@@ -35,7 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = [f"c{i}" for i in range(len(docs.columns))]
     left = left.toDF(*names, "n_lines", "lines_cut", "words_cut")
     text = F.col(names[docs.columns.index("text")])
-    gone = (F.col("lines_cut") > 0) & (F.length(F.trim(F.lit(" \t\n\u000b\f\r"), text)) == 0)
+    gone = (F.col("lines_cut") > 0) & (F.length(F.trim(text, F.lit(" \t\n\u000b\f\r"))) == 0)
     return _counted(left.where(~gone).select(*names).toDF(*docs.columns))
 
 

@@ -40,7 +40,7 @@ def measures(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
     rows = rows.withColumn("word_chars", F.length(F.regexp_replace("text", BLANK, "")).cast("long"))
     rows = rows.withColumn("n_symbols", F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long"))
-    rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(F.lit(" \t\n\u000b\f\r"), x)) > 0))
+    rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x, F.lit(" \t\n\u000b\f\r"))) > 0))
     rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
     hashed = F.transform("words", lambda w, i: F.xxhash64(w, _lag("words", i, 1), _lag("words", i, 2)))
     rows = rows.withColumn("windows", F.when(F.col("n_words") >= 3, F.slice(hashed, F.lit(1), F.greatest(F.lit(0), F.size("words") - 2))).otherwise(F.array().cast("array<bigint>")))
@@ -134,7 +134,7 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("word_distance", distance(F.col("found"), F.col("ref_counts")))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     chars = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x)
-    far = (chars >= LEAST_CHARS) & (F.coalesce("char_distance", F.lit(1.0)) > FAR_CHARS)
-    far = far | ((F.col("letters_words") >= LEAST_WORDS) & (F.coalesce("word_distance", F.lit(1.0)) > FAR_WORDS))
+    far = (chars >= LEAST_CHARS) & (F.coalesce("char_distance", F.lit(0.0)) > FAR_CHARS)
+    far = far | ((F.col("letters_words") >= LEAST_WORDS) & (F.coalesce("word_distance", F.lit(0.0)) > FAR_WORDS + F.sqrt(COMMON / (8 * math.log(2) * F.col("letters_words")))))
     rows = rows.withColumn("base_failed", base)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance")
