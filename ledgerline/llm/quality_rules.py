@@ -125,7 +125,9 @@ def judge(docs: DataFrame) -> DataFrame:
     # One row for each language, so the hint is safe for any table whose lang is a language.
     rows = rows.join(F.broadcast(refs), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     rows = rows.withColumn("classes", F.array(*names)).drop(*names)
-    rows = rows.withColumn("letters_words", F.length("spaced") - F.length(F.replace("spaced", F.lit("  "), F.lit(" "))) + 1)
+    trimmed = F.trim("spaced")
+    gaps = F.length(trimmed) - F.length(F.replace(trimmed, F.lit("  "), F.lit(" ")))
+    rows = rows.withColumn("letters_words", F.when(F.length(trimmed) > 0, gaps + 1).otherwise(0))
     count = lambda w: (F.length("spaced") - F.length(F.replace(F.col("spaced"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.length(w) + 2)
     rows = rows.withColumn("found", F.transform("ref_words", lambda w: count(w)))
     others = F.greatest(F.lit(0.0), F.col("letters_words") - F.aggregate("found", F.lit(0.0), lambda a, x: a + x))
