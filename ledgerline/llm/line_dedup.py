@@ -185,6 +185,8 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     rows = materialise(rows.mapInArrow(_lines, "doc_id long, own long, lines binary, words binary"), "lines")
     anchors = rows.select("doc_id", "lines", "words").mapInArrow(_anchors, "line long, doc_id long")
     firsts = anchors.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("line", "first")
+    # Written, so that the join deals both sides itself and can split a frequent line.
+    firsts = materialise(firsts, "firsts")
     pairs = anchors.join(firsts, "line").where("doc_id > first").select("first", "doc_id").distinct()
     first = rows.select(F.col("doc_id").alias("first"), F.col("lines").alias("first_lines"))
     met = pairs.join(rows, "doc_id").join(first, "first").select("doc_id", "own", "lines", "words", "first_lines")
@@ -193,7 +195,8 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     carried = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     doc, text = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
     carried = carried.withColumn("own", F.xxhash64(text)).withColumn("doc_id", F.col(doc).cast("long"))
-    joined = carried.join(cuts, ["doc_id", "own"], "left").select(*[f"c{i}" for i in range(len(docs.columns))], "cuts")
+    # One plan at every size: the cuts grow with the documents, so they are never broadcast.
+    joined = carried.join(cuts.hint("merge"), ["doc_id", "own"], "left").select(*[f"c{i}" for i in range(len(docs.columns))], "cuts")
     fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
     counts = [StructField(f"c{len(fields) + i}", LongType()) for i in range(3)]
     return joined.mapInArrow(_delete(docs.columns), StructType(fields + counts)).toDF(*docs.columns, "n_lines", "lines_cut", "words_cut")
