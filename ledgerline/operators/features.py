@@ -48,6 +48,12 @@ def hash_split(df: DataFrame, key: str, train_share: float = 0.8) -> tuple[DataF
     return df.filter(side), df.filter(~side)
 
 
+def modulus_split(df: DataFrame, key: str, parts: int = 10, train: int = 8) -> tuple[DataFrame, DataFrame]:
+    """The same by the remainder of a whole-number key, which SQL elsewhere can repeat."""
+    side = F.pmod(F.col(key), F.lit(parts)) < train
+    return df.filter(side), df.filter(~side)
+
+
 def fit_forest(train: DataFrame, inputs: Sequence[str], label: str, trees: int = 100, depth: int = 5, seed: int = 42):
     """Random-forest regression on the given columns; returns a function that adds ``prediction``."""
     pack = VectorAssembler(inputCols=list(inputs), outputCol="_features")

@@ -18,7 +18,7 @@ from ledgerline.operators.quality import duplicates, failing, run_checks
 from ledgerline.plans import anomalies, dims, facts, gold
 from ledgerline.plans.monitoring import run_steps
 from ledgerline.sources.files import with_lineage
-from ledgerline.sources.tables import Lake, replace_partitions, upsert_partitions
+from ledgerline.sources.tables import Lake, path_exists, replace_partitions, upsert_partitions
 from ledgerline.sources.watermarks import FIRST, advance_watermark, full_scan, incremental_scan, read_watermark
 
 
@@ -86,15 +86,22 @@ def workspace_activity(workspace: DataFrame, usage: DataFrame) -> DataFrame:
 
 class DailyBatch:
     """One run over a lake. ``now`` stamps everything the run writes; ``grain`` is the length of a
-    partition (day, month), to be chosen so that partitions are neither tiny nor huge."""
+    partition (day, month), to be chosen so that partitions are neither tiny nor huge.
+
+    Watermarks move after the last step only. A run that fails leaves them, so the next one reads
+    the same rows again and does the failed work; every step gives the same state when repeated.
+    Rows up to ``lookback_days`` older than the mark are read again, which catches late ones. A price
+    that is new or changed adds the partitions whose usage lies in its period.
+    """
 
     def __init__(
-        self, lake: Lake, sources: Sources, now: dt.datetime, *, lookback_days: int = 0, grain: str = "day", first: str = FIRST
+        self, lake: Lake, sources: Sources, now: dt.datetime, *, lookback_days: int = 3, grain: str = "day", first: str = FIRST
     ):
         self.lake, self.src, self.now, self.lookback = lake, sources, now, lookback_days
         self.grain, self.first = grain, first
         self.batch = uuid.uuid4().hex
         self.touched: dict[str, list] = {}
+        self.marks: dict[str, tuple[str, str]] = {}
         self.spark = lake.spark
 
     def path(self, table: str) -> str:
@@ -125,7 +132,7 @@ class DailyBatch:
         order = [F.desc(column), *[F.desc(c) for c, k in batch.dtypes if not k.startswith("map")]]
         one = dedup_latest(batch, [key, date], order)
         done = self._save(table, one, key, date)
-        advance_watermark(self.lake, f"ingest_{table}", table, column, seen.top, self.now)
+        self.marks[table] = (column, seen.top)
         return {"read": seen.n, **done}
 
     def usage(self) -> dict:
@@ -135,8 +142,23 @@ class DailyBatch:
         return self._ingest(self.src.audit, "event_time", "event_id", "event_date", "bronze_audit_events")
 
     def prices(self) -> dict:
+        name, usage = "bronze/bronze_billing_prices", "bronze_billing_usage"
         rows = with_lineage(full_scan(self.src.prices, "list_prices"), "list_prices", self.batch, self.now)
-        return self.lake.merge("bronze/bronze_billing_prices", rows, ["sku_name", "cloud", "price_start_time"])
+        if self.lake.exists(name) and path_exists(self.spark, self.path(usage)):
+            found = self._repriced(self.lake.read(name), self.fact(usage)).collect()
+            self.touched[usage] = list(dict.fromkeys([*self.touched.get(usage, []), *[r.part_date for r in found]]))
+        return self.lake.merge(name, rows, ["sku_name", "cloud", "price_start_time"])
+
+    def _repriced(self, stored: DataFrame, usage: DataFrame) -> DataFrame:
+        """Partitions with usage in the period of a new or changed price, before or after the change."""
+        key = ["sku_name", "cloud", "price_start_time"]
+        before, after = facts.price_list(stored), facts.price_list(self.src.prices)
+        changed = after.exceptAll(before)
+        periods = changed.unionByName(before.join(changed.select(*key), key, "left_semi")).alias("p")
+        start, end, at = F.col("p.price_start_time"), F.col("p.price_end_time"), F.col("u.usage_start_time")
+        on = (F.col("u.sku_name") == F.col("p.sku_name")) & (F.col("u.cloud") == F.col("p.cloud"))
+        on = on & (at >= start) & (end.isNull() | (at < end))
+        return usage.alias("u").join(periods, on, "left_semi").select("part_date").distinct()
 
     def dimensions(self) -> dict:
         lk = self.lake
@@ -181,7 +203,6 @@ class DailyBatch:
         out = []
         if self.touched["bronze_billing_usage"]:
             cost = self._touched("bronze_billing_usage", "fact_cost")
-            tags = {"project": ("project", "Project"), "application": ("application", "app")}
             warehouse = ["usage_date", "workspace_id", "warehouse_id"]
             out += [
                 ("workspace_day", "usage_date", gold.workspace_day(cost)),
@@ -190,7 +211,7 @@ class DailyBatch:
                 ("gold_job_cost", "usage_date", gold.job_daily(cost)),
                 ("gold_cluster_cost", "usage_date", gold.cluster_daily(cost)),
                 ("warehouse_day", "usage_date", gold.rollup_cost(cost, warehouse, not_null="warehouse_id")),
-                ("fact_cost_allocation", "allocation_date", facts.allocate(cost, tags)),
+                ("fact_cost_allocation", "allocation_date", facts.allocate(cost, facts.TAGS)),
             ]
         if self.touched["bronze_audit_events"]:
             audit = self._touched("bronze_audit_events", "fact_audit_event")
@@ -248,4 +269,7 @@ class DailyBatch:
 
     def run(self) -> list[dict]:
         steps = ["usage", "prices", "audit", "dimensions", "cost", "audit_fact", "rollups", "checks", "anomalies", "gold"]
-        return run_steps(self.lake, "daily", [(s, getattr(self, s)) for s in steps])
+        done = run_steps(self.lake, "daily", [(s, getattr(self, s)) for s in steps])
+        for table, (column, top) in self.marks.items():
+            advance_watermark(self.lake, f"ingest_{table}", table, column, top, self.now)
+        return done

@@ -14,6 +14,9 @@ _METADATA = (
 )
 _FEATURES = ("is_serverless", "is_photon", "serving_type", "jobs_tier", "sql_tier", "dlt_tier")
 
+# The spellings of the tags that costs are allocated and filtered by.
+TAGS = {"project": ("project", "Project"), "application": ("application", "app")}
+
 
 def silver_usage(usage: DataFrame, workspace: DataFrame) -> DataFrame:
     """Flat usage records with workspace attributes."""

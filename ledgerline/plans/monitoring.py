@@ -35,7 +35,7 @@ def run_steps(lake: Lake, name: str, steps: Sequence[tuple[str, Callable[[], dic
         try:
             metrics = action() or {}
         except Exception as e:
-            log_run(lake, name, step, start, dt.datetime.now(), {}, "FAILED", str(e)[:2000])
+            log_run(lake, name, step, start, dt.datetime.now(), {}, "FAILED", str(e))
             raise
         end = dt.datetime.now()
         log_run(lake, name, step, start, end, metrics, "SUCCESS", None)

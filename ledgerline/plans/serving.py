@@ -8,7 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calc import change_pct, money, percent, trend_sign
+from ledgerline.functions.calc import change_pct, money, percent, tag, trend_sign
+from ledgerline.plans.facts import TAGS
 from ledgerline.plans.gold import rollup_cost
 
 
@@ -217,7 +218,8 @@ def filtered(df: DataFrame, filters: Mapping[str, object], date: str = "usage_da
             raise ValueError(f"unknown filter {name}")
         else:
             values = value if isinstance(value, (list, tuple, set)) else [value]
-            df = df.filter(F.col(name).isin(list(values)))
+            column = tag(F.col("custom_tags"), *TAGS[name]) if name in TAGS and name not in df.columns else F.col(name)
+            df = df.filter(column.isin(list(values)))
     return df
 
 

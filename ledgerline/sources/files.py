@@ -129,7 +129,9 @@ def resolve_schema(spark: SparkSession, fmt: str, src: str, folder: str) -> T.St
     return schema
 
 
-MAX_HEADERS = 1_000
+def _header_names(frames):
+    for frame in frames:
+        yield frame.assign(names=[[n.strip() for n in next(csv.reader([h]))] for h in frame["header"]])[["header", "names"]]
 
 
 def csv_columns(spark: SparkSession, src: str, after: dt.datetime | None = None) -> list[str]:
@@ -145,14 +147,15 @@ def csv_columns(spark: SparkSession, src: str, after: dt.datetime | None = None)
         "value",
     )
     first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    found = [r[0] for r in first.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if not found or len(found) > MAX_HEADERS:
-        raise ValueError(f"{len(found)} or more different CSV headers in {src}")
-    names = sorted((next(csv.reader([h])) for h in found), key=len)
-    widest = [n.strip() for n in names[-1]]
-    for n in names:
-        if [x.strip() for x in n] != widest[: len(n)]:
-            raise ValueError(f"CSV header {n} is not the beginning of {widest}")
+    names = first.select("header").distinct().mapInPandas(_header_names, "header string, names array<string>")
+    top = names.orderBy(F.desc(F.size("names")), "header").first()
+    if top is None:
+        raise ValueError(f"no CSV header in {src}")
+    widest = top["names"]
+    begin = F.slice(F.array(*[F.lit(n) for n in widest]), F.lit(1), F.size("names"))
+    other = names.filter(begin != F.col("names")).first()
+    if other is not None:
+        raise ValueError(f"CSV header {other['names']} is not the beginning of {widest}")
     return widest
 
 

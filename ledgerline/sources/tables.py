@@ -89,14 +89,18 @@ class Lake:
         operation: str,
         *,
         keep: bool = False,
-        partition_by: Sequence[str] = (),
+        partition_by: Sequence[str] | None = (),
         metrics: Observation | dict | None = None,
     ) -> dict[str, int]:
-        """Write ``df`` as the new state, or add it to the present one with ``keep``."""
+        """Write ``df`` as the new state, or add it to the present one with ``keep``.
+
+        With ``partition_by=None`` a table keeps the partitioning it has.
+        """
         before = self._state(name)
         version = 0 if before is None else before.version + 1
-        if keep and before is not None:
+        if before is not None and (keep or partition_by is None):
             partition_by = before.partition_by
+        partition_by = partition_by or ()
         folder = f"{name}/data/v{version:06d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.root}/{folder}")
@@ -121,11 +125,11 @@ class Lake:
         self.commit(name, df, "append", keep=True)
 
     def truncate(self, name: str) -> None:
-        self.commit(name, self.read(name).limit(0), "truncate")
+        self.commit(name, self.read(name).limit(0), "truncate", partition_by=None)
 
     def clone(self, source: str, target: str, version: int | None = None) -> None:
         """Copy one state of a table, files included."""
-        self.commit(target, self.read(source, version), "clone")
+        self.commit(target, self.read(source, version), "clone", partition_by=self._state(source, version).partition_by)
 
     def merge(self, name: str, source: DataFrame, keys: Sequence[str], **options) -> dict[str, int]:
         """Upsert into the table; the counts are taken while the new state is written."""
@@ -134,7 +138,7 @@ class Lake:
             state = upsert(self.read(name), source, keys, **options)
         else:
             state = first_load(source, keys, options.get("unique_source", False))
-        return self.commit(name, state.observe(seen, *action_metrics()).drop(ACTION), "merge", metrics=seen)
+        return self.commit(name, state.observe(seen, *action_metrics()).drop(ACTION), "merge", partition_by=None, metrics=seen)
 
     def insert_missing(self, name: str, source: DataFrame, keys: Sequence[str]) -> dict[str, int]:
         """Insert-only merge: only the new rows are written."""

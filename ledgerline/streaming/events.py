@@ -65,7 +65,11 @@ def unique_events(stream: DataFrame, ts: str, delay: str, key: str) -> DataFrame
 
 
 def dropped_by_watermark(query) -> int:
-    """Rows that came too late for their window over all batches of a run."""
+    """Late rows that Spark reports in the progress entries it still holds.
+
+    A sign, not a count: entries of old batches are gone, and rows are counted after partial aggregation. Correct
+    late windows with ``correct_windows`` whatever this says.
+    """
     return sum(
         int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"]
     )

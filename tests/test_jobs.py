@@ -145,7 +145,7 @@ def test_incremental_daily_batch(spark, lake):
     first = "1990-01-01 00:00:00"
 
     def batch(u):
-        return DailyBatch(lake, Sources(u, i.prices, audit), NOW, grain="year", first=first).run()
+        return DailyBatch(lake, Sources(u, i.prices, audit), NOW, lookback_days=0, grain="year", first=first).run()
 
     batch(usage.filter(F.col("usage_start_time") < "1999-06-01"))
     second = {r["step"]: r for r in batch(usage)}
@@ -168,6 +168,45 @@ def test_incremental_daily_batch(spark, lake):
     assert log.count() == 30 and log.filter("status = 'SUCCESS'").count() == 30
 
 
+def cost_by_month(df):
+    month = F.date_trunc("month", "usage_date").alias("month")
+    return {(r[0], r[1]): (r[2], r[3]) for r in df.groupBy("workspace_id", month).agg(F.count(F.lit(1)), F.sum("estimated_cost")).collect()}
+
+
+def test_daily_batch_recovers_reprices_and_finds_late_rows(spark, lake, monkeypatch):
+    """A failed step is made up for; a late row is loaded; a changed price reaches stored costs."""
+    i = Inputs(spark, DATA)
+    usage, audit = i.usage(), i.audit_raw.drop("_value")
+    late = (F.col("usage_start_time") < "1999-06-01") & (F.col("usage_start_time") >= "1999-05-30") & (F.crc32(F.col("record_id").cast("binary")) % 2 == 0)
+
+    def batch(u, prices=i.prices):
+        return DailyBatch(lake, Sources(u, prices, audit), NOW, grain="year", first="1990-01-01 00:00:00").run()
+
+    def direct(prices):
+        bronze, w = spark.read.parquet(f"{lake.root}/facts/bronze_billing_usage"), lake.read("dims/dim_workspace")
+        return cost_by_month(facts.cost_fact(facts.silver_usage(bronze, w), prices, w))
+
+    early = usage.filter("usage_start_time < '1999-06-01'")
+    with monkeypatch.context() as m:
+        m.setattr(DailyBatch, "cost", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            batch(early.filter(~late))
+    batch(early.filter(~late))
+    stored = lambda: cost_by_month(spark.read.parquet(f"{lake.root}/facts/fact_cost"))
+    assert stored() == direct(i.prices) and stored()
+    batch(early)
+    bronze = spark.read.parquet(f"{lake.root}/facts/bronze_billing_usage")
+    assert bronze.count() == early.select("record_id", "usage_date").distinct().count()
+    assert stored() == direct(i.prices)
+    kind = i.prices.schema["pricing"].dataType["default"].dataType
+    twice = lambda c: (F.col(c) * 2).cast(kind)
+    pricing = F.col("pricing").withField("default", twice("pricing.default"))
+    doubled = i.prices.withColumn("pricing", pricing.withField("effective_list.default", twice("pricing.effective_list.default")))
+    before = stored()
+    batch(early, doubled)
+    assert stored() == direct(doubled) and stored() != before
+
+
 def test_failing_step_is_logged(lake):
     def boom():
         raise ValueError("no input")

@@ -25,4 +25,4 @@ def test_query(spark, con, name):
 def test_names():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(e.queries()) and set(SQL) <= set(e.oracle_sql())
-    assert set(QUERIES) - set(SQL) == {"forest_metrics", "batch_scoring"}
+    assert set(QUERIES) == set(SQL)
