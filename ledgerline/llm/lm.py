@@ -19,7 +19,7 @@ VOCABULARY, START, END, OTHER, FIRST = 65_536, 0, 1, 2, 3
 #: Weight of the unigram distribution in each context, in tokens.
 PRIOR = 100.0
 #: Tokens that a task handles together, and of a shard. Pairs at most that every worker holds.
-GROUP, SHARD, HOT, LEAST_HOT = 1_000_000, 500_000, 1_000_000, 16
+GROUP, SHARD, HOT, LEAST_HOT = 600_000, 500_000, 1_000_000, 16
 #: Probabilities are kept as 16-bit steps of log10.
 STEP = 16 / 65_535
 ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
