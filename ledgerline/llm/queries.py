@@ -6,20 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm import oracles
 from ledgerline.llm.common import table
 from ledgerline.llm.langid import identify
 from ledgerline.llm.line_dedup import dedup_lines
-from ledgerline.llm.mixing import mixed_counts
 from ledgerline.llm.lm import score_texts
+from ledgerline.llm.mixing import mixed_counts
 from ledgerline.llm.near_text import near_duplicates
 from ledgerline.llm.near_vectors import near_vectors
-from ledgerline.llm.quality_rules import judge
 from ledgerline.llm.packing import best_fit
+from ledgerline.llm.quality_rules import judge
 from ledgerline.llm.tokens import public_path, token_counts
 from ledgerline.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_embedding_near_dedup": oracles.NEAR_VECTORS,
+    "op6_quality_rules": oracles.quality(),
+    "op7_minhash_near_dedup": oracles.NEAR_TEXTS,
+}
 
 
 def query(f):
@@ -49,7 +54,7 @@ def op5_lm_scores(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def op6_quality_rules(spark: SparkSession, root: str) -> DataFrame:
-    return judge(table(spark, root, "documents"))
+    return judge(table(spark, root, "documents")).drop("char_distance", "word_distance")
 
 
 @query
