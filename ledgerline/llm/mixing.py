@@ -204,7 +204,8 @@ def mix(docs: DataFrame, carry: list[str], weights: tuple[float, ...] = (3, 1, 2
     own = slim.select("row", "source_no", "start", "size", F.explode(F.sequence((F.col("start") / block).cast("long"), ((F.col("start") + F.col("size") - 1) / block).cast("long"))).alias("block"))
     shards = -(-sum(plan.slots) // SHARD)
     slots = spark.range(shards).repartition(max(1, min(shards, 10_000))).mapInPandas(_slots(plan, shards), ", ".join(f"{c} long" for c in SLOT))
-    met = own.join(slots, ["source_no", "block"])
+    # Slots grow with the words; Spark would take them for as small as the range they come from and broadcast them.
+    met = own.join(slots.hint("merge"), ["source_no", "block"])
     low = F.greatest(F.lit(0).cast("long"), F.col("block") * block - F.col("start"))
     high = F.least(F.col("size"), F.col("block") * block + F.col("words") - F.col("start"))
     ranges = met.select("row", "shard", "slot", "turn", low.alias("from"), high.alias("to")).where(F.col("from") < F.col("to"))
