@@ -16,7 +16,8 @@ TREES, LEAF, FITTED, LEVELS = 8, 512, 2_000, 8
 #: Half the width of the overlap at a split, in spreads of the projected difference of two vectors at the threshold.
 OVERLAP = 0.5
 #: A split that would put more than this share of a node on both sides is not made. Rows of a block of a large leaf.
-STUCK, BLOCK = 0.7, 2_048
+#: Rows that are routed together.
+STUCK, BLOCK, ROUTED_ROWS = 0.7, 2_048, 2_000
 ROUTED = "rep long, label {0}, copies long, vector binary, node long"
 
 
@@ -65,7 +66,7 @@ def _route(threshold: float):
     """Each row into every leaf that it reaches; within the overlap of a split it goes both ways."""
 
     def run(frames):
-        for frame in frames:
+        for frame in (f.iloc[k : k + ROUTED_ROWS] for f in frames for k in range(0, len(f), ROUTED_ROWS)):
             parts = []
             for node, rows in frame.groupby("node", sort=False):
                 cuts = np.frombuffer(rows["cuts"].iloc[0], np.float64)
@@ -134,15 +135,16 @@ def _compare(threshold: float):
         x, y = _matrix(a["vector"]), _matrix(b["vector"])
         links = {0: np.zeros(len(a), np.int64), 1: np.zeros(len(b), np.int64)}
         both, pairs = np.concatenate(reps), []
-        step = max(1, 2_000_000 // len(y))
+        step = max(1, 500_000 // len(y))
         for start in range(0, len(x), step):
             i, j = np.nonzero(x[start : start + step] @ y.T >= threshold)
             i += start
             keep = reps[0][i] < reps[1][j] if low == high else reps[0][i] != reps[1][j]
             i, j = i[keep], j[keep]
             pairs.append((i.astype(np.int32), (j + len(a)).astype(np.int32)))
-            for k in range(0, len(i), 100_000):
-                p, q = i[k : k + 100_000], j[k : k + 100_000]
+            few = max(1, 4_000_000 // width**2)
+            for k in range(0, len(i), few):
+                p, q = i[k : k + few], j[k : k + few]
                 shared = np.where((codes[0][p][:, :, None] == codes[1][q][:, None, :]).any(axis=2), codes[0][p], np.iinfo(np.int64).max)
                 new = shared.min(axis=1) == node
                 np.add.at(links[0], p[new], copies[1][q[new]])
