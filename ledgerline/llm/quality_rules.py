@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import materialise
+
 BLANK = r"[\x20\x09-\x0D]+"
 #: Character classes, each counted in what the classes before it have left of the text.
 CLASSES = {
@@ -95,7 +97,8 @@ def references(rows: DataFrame) -> DataFrame:
     classes = classes.select("lang", F.array(*names).alias("ref_classes"))
     words = rows.select("lang", F.explode(F.split(F.trim(spaced("text")), " +")).alias("word"))
     words = words.select("lang", F.when(F.length("word") <= COMMON_LETTERS, F.col("word")).otherwise(F.lit("")).alias("word"))
-    words = words.groupBy("lang", "word").count()
+    # Written, as both the total and the common words are read from it.
+    words = materialise(words.groupBy("lang", "word").count(), "words")
     total = words.groupBy("lang").agg(F.sum("count").alias("total"))
     first = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
     common = words.where("word <> ''").withColumn("place", F.row_number().over(first)).where(F.col("place") <= COMMON)
