@@ -205,7 +205,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, out: int = 1,
     labels = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("long")).alias("toxic"))
     labels = labels.withColumn("part", id_remainder("doc_id", modulus)).where(F.col("part") != out)
     first = min(r for r in range(modulus) if r != out)
-    own = docs.where(id_remainder("doc_id", modulus) == first).join(labels.where(F.col("part") == first).select("doc_id", "toxic"), "doc_id")
+    # One plan at every size: labels grow with the documents, so they are never broadcast.
+    taught = labels.where(F.col("part") == first).select("doc_id", "toxic").hint("merge")
+    own = docs.where(id_remainder("doc_id", modulus) == first).join(taught, "doc_id")
     weights = spark.sparkContext.broadcast(lexicon(own))
     picked = labels.where(F.col("part") != first).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED).select("doc_id", "toxic")
     fitted = docs.where(~id_remainder("doc_id", modulus).isin(first, out)).join(F.broadcast(picked), "doc_id")
