@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import id_remainder, materialise, mix64, text_bytes, word_hashes
 
-#: Words with an id of their own, the most frequent ones; the others are one class in contexts, told apart by counts.
+#: Ids that every worker knows, those of the most frequent words. Other words are told apart by hash, flagged by RARE,
+#: and have ids within their shard; OTHER only marks them.
 VOCABULARY, START, END, OTHER, FIRST = 65_536, 0, 1, 2, 3
+RARE = np.uint64(1 << 63)
 #: Weight of the unigram distribution in each context, in tokens.
 PRIOR = 100.0
 #: Tokens that a task handles together, and of a shard. Pairs at most that every worker holds.
@@ -76,21 +78,21 @@ class Trie:
     """
 
     @staticmethod
-    def encode(pairs: np.ndarray, steps: np.ndarray) -> bytes:
-        """``pairs``: sorted, the context in the high half of 32 bits."""
-        context, word = (pairs >> 16).astype(np.int64), (pairs & 0xFFFF).astype(np.int64)
-        pointers = np.concatenate([[0], np.cumsum(np.bincount(context, minlength=VOCABULARY))])
+    def encode(pairs: np.ndarray, steps: np.ndarray, bits: int = 16) -> bytes:
+        """``pairs``: sorted, the word in the low ``bits`` bits and the context above."""
+        context, word = (pairs >> bits).astype(np.int64), (pairs & ((1 << bits) - 1)).astype(np.int64)
+        pointers = np.concatenate([[0], np.cumsum(np.bincount(context))])
         new = np.flatnonzero(np.diff(context, prepend=-1))
         last = np.zeros(len(pairs), np.int64)
         if len(new) > 1:
             last[new[1:]] = word[new[1:] - 1]
         parts = [EliasFano.encode(pointers), EliasFano.encode(word + np.cumsum(last)), steps.astype("<u2").tobytes()]
         parts = [p + b"\0" * (-len(p) % 8) for p in parts]
-        return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
+        return np.array([*(len(p) for p in parts), bits], np.int64).tobytes() + b"".join(parts)
 
     def __init__(self, data: np.ndarray):
-        sizes = data[:24].view(np.int64)
-        at = 24 + np.concatenate([[0], np.cumsum(sizes)])
+        *sizes, self.bits = data[:32].view(np.int64).tolist()
+        at = 32 + np.concatenate([[0], np.cumsum(sizes)])
         self.pointers, self.words = EliasFano(data[at[0] : at[1]]), EliasFano(data[at[1] : at[2]])
         self.steps = data[at[2] : at[3]].view("<u2")
 
@@ -99,7 +101,9 @@ class Trie:
         out = np.full(len(pairs), -1, np.int64)
         if not self.words.n or not len(pairs):
             return out
-        context, word = (pairs >> 16).astype(np.int64), (pairs & 0xFFFF).astype(np.int64)
+        context, word = (pairs >> self.bits).astype(np.int64), (pairs & ((1 << self.bits) - 1)).astype(np.int64)
+        inside = context < self.pointers.n - 1
+        context = np.where(inside, context, 0)
         low, end = self.pointers.get(context), self.pointers.get(context + 1)
         target = word + np.where(low > 0, self.words.get(np.maximum(low - 1, 0)), 0)
         high = end.copy()
@@ -108,7 +112,7 @@ class Trie:
             less = open_ & (self.words.get(np.minimum(mid, self.words.n - 1)) < target)
             low, high = np.where(less, mid + 1, low), np.where(open_ & ~less, mid, high)
         at = np.minimum(low, self.words.n - 1)
-        hit = (low < end) & (self.words.get(at) == target)
+        hit = inside & (low < end) & (self.words.get(at) == target)
         out[hit] = self.steps[at[hit]]
         return out
 
@@ -207,7 +211,9 @@ def _count_pairs(shared, shards: int):
 
         held, size = [], 0
         for group in _groups(batches):
-            held.append(_ids(group, shared.value)[1].astype(np.uint32))
+            pairs = _ids(group, shared.value)[1]
+            # Pairs with a rare word are counted in that word's shard, from the queries of the training texts.
+            held.append(pairs[(pairs >> 16 != OTHER) & (pairs & 0xFFFF != OTHER)].astype(np.uint32))
             size += len(held[-1])
             if size >= 4 * GROUP:
                 yield out(held)
@@ -241,7 +247,11 @@ QUERIES = "kind int, shard long, part long, trained long, a binary, b binary, c
 
 
 def _ask(shared, hot, shards: int, other_shards: int):
-    """Queries of a group of texts: kind 0 the texts with what is known here, 1 pairs, 2 words outside the vocabulary."""
+    """Queries of a group of texts: kind 0 the texts with what is known here, 1 pairs of words with ids, 2 rare words.
+
+    A rare word is asked for with the word before it and, if that has an id, the word after it; its shard answers for
+    the pair that it ends, for the pair that it begins unless a rare word ends that, and for its own counts.
+    """
 
     def run(batches):
         vocabulary, (hot_pairs, hot_logs) = shared.value, hot.value
@@ -254,24 +264,33 @@ def _ask(shared, hot, shards: int, other_shards: int):
             n = len(group)
             known = np.bincount(place, vocabulary.counts[ids] * (ids != OTHER) > 0, n)
             base = np.bincount(place, np.where(ids == OTHER, -np.log10(vocabulary.total), vocabulary.base[ids]), n)
-            score = np.bincount(place, np.where(ids == OTHER, -np.log10(vocabulary.rest), 0.0), n)
+            before, rare = pairs >> 16, ids == OTHER
+            mixed = rare | (before == OTHER)
+            weight = np.where(rare, 1 / vocabulary.total, vocabulary.unigram[ids])[mixed]
+            context = np.where(before == OTHER, 1.0, vocabulary.contexts[before] + PRIOR)[mixed]
+            score = np.bincount(place[mixed], np.log10(PRIOR * weight / context), n)
             at = np.minimum(np.searchsorted(hot_pairs, pairs), max(len(hot_pairs) - 1, 0))
             local = hot_pairs[at] == pairs if len(hot_pairs) else np.zeros(len(pairs), bool)
             if local.any():
                 score += np.bincount(place[local], hot_logs[at[local]], n)
             rows = [(0, 0, np.array([-1 if g[0] is None else g[0] for g in group], "<i8").tobytes() + np.array([[len(g[2]) + 1, g[1], g[0] is None] for g in group], "<i8").T.tobytes(), known.astype("<i8").tobytes(), np.stack([base, score]).astype("<f8").tobytes())]
-            cold, times = np.unique((pairs[~local].astype(np.uint64) << np.uint64(32)) | place[~local].astype(np.uint64), return_counts=True)
+            cold = ~local & ~mixed
+            cold, times = np.unique((pairs[cold].astype(np.uint64) << np.uint64(32)) | place[cold].astype(np.uint64), return_counts=True)
             cold, texts = (cold >> np.uint64(32)).astype(np.int64), cold.astype(np.uint32)
             for s, q, t, m in _by_shard(shard_of(cold, shards), cold, texts, times):
                 rows.append((1, s, q.astype("<u4").tobytes(), t.astype("<u4").tobytes(), m.astype("<u4").tobytes()))
-            hashes, inside = np.concatenate([g[2] for g in group]), ids != END
-            out = (ids == OTHER)[inside]
-            order = np.lexsort((place[inside][out], hashes[out]))
-            words, texts = hashes[out][order], place[inside][out][order]
-            if len(words):
-                first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (texts[1:] != texts[:-1])]))
+            hashes = np.zeros(len(ids), np.uint64)
+            hashes[ids != END] = np.concatenate([g[2] for g in group])
+            at = np.flatnonzero(rare)
+            if len(at):
+                left = np.where(before[at] == OTHER, hashes[at - 1] | RARE, before[at].astype(np.uint64))
+                words, right = hashes[at] | RARE, (place[at] << 16) | ids[at + 1]
+                order = np.lexsort((left, right, words))
+                words, left, right = words[order], left[order], right[order]
+                first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
                 times = np.diff(np.concatenate([first, [len(words)]]))
-                for s, w, t, m in _by_shard(shard_of(words[first], other_shards), words[first], texts[first], times):
+                words, left, right = words[first], left[first], right[first]
+                for s, w, t, m in _by_shard(shard_of(words, other_shards), np.stack([words, left], axis=1), right >> 16, np.stack([times, right & 0xFFFF], axis=1)):
                     rows.append((2, s, w.astype("<u8").tobytes(), t.astype("<u4").tobytes(), m.astype("<u4").tobytes()))
             for i in range(0, len(rows), 256):
                 part = rows[i : i + 256]
@@ -314,6 +333,14 @@ def _named(names, answers: pd.DataFrame) -> pd.DataFrame:
     return answers[["part", "texts", "known", "base", "score"]]
 
 
+def _mapped(trie: bytes, pairs: np.ndarray) -> np.ndarray:
+    """The steps of pairs in a trie that is memory-mapped."""
+    with tempfile.TemporaryFile() as file:
+        file.write(trie)
+        file.flush()
+        return Trie(np.memmap(file, np.uint8, "r")).find(pairs)
+
+
 def _answer_pairs(shared):
     def run(key, frame: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
         if not len(frame):
@@ -323,22 +350,49 @@ def _answer_pairs(shared):
         wanted = wanted.astype(np.int64)
         logs = shared.value.log(wanted, 0.0)
         if len(tries):
-            with tempfile.TemporaryFile() as file:
-                file.write(tries["trie"].iloc[0])
-                file.flush()
-                steps = Trie(np.memmap(file, np.uint8, "r")).find(wanted)
+            steps = _mapped(tries["trie"].iloc[0], wanted)
             logs = np.where(steps >= 0, -steps * STEP, logs)
         return _named(names, _answers(parts, texts, None, None, times * logs[inverse]))
 
     return run
 
 
-def _answer_words(frame: pd.DataFrame) -> pd.DataFrame:
-    names, parts, words, texts, times, trained = _spread(frame, "<u8")
-    found, inverse = np.unique(words, return_inverse=True)
-    counts = np.bincount(inverse, times * trained, len(found))
-    logs = times * np.log10(counts + 1)[inverse]
-    return _named(names, _answers(parts, texts, times * (counts > 0)[inverse], logs, logs))
+def _answer_words(shared):
+    """Rare words of a shard: ids of their own here, counts and a trie from the training texts' queries.
+
+    The trie holds what a pair's count adds to the logarithm of its weighted unigram.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        vocabulary = shared.value
+        names, parts, keys, texts, rest, trained = _spread(frame, "<u8")
+        times, after = rest[::2], rest[1::2].astype(np.int64)
+        known = 1 << 16
+        rare = np.unique(keys[keys >= RARE])
+        ids = np.where(keys >= RARE, known + np.searchsorted(rare, keys), (keys & ~RARE).astype(np.int64))
+        word, before = ids[::2], ids[1::2]
+        counts = np.bincount(word - known, times * trained, len(rare))
+        # The pair that a word ends, and the one that it begins; a pair of two rare words is the second one's.
+        begins = after != OTHER
+        pairs = np.concatenate([(before << 32) | word, ((word << 32) | after)[begins]])
+        wanted, inverse = np.unique(pairs, return_inverse=True)
+        seen = np.bincount(inverse, np.concatenate([times * trained, (times * trained)[begins]]), len(wanted))
+        second = wanted & 0xFFFF_FFFF
+        unigram = np.empty(len(wanted))
+        own = second >= known
+        unigram[own] = (counts[second[own] - known] + 1) / vocabulary.total
+        unigram[~own] = vocabulary.unigram[second[~own]]
+        gain = np.clip(np.rint(np.log10(1 + seen / (PRIOR * unigram)) / STEP), 0, 65_535).astype(np.int64)
+        held = seen > 0
+        steps = _mapped(Trie.encode(wanted[held], gain[held], 32), wanted)
+        gains = (np.maximum(steps, 0) * STEP)[inverse]
+        count = counts[word - known]
+        base = np.log10(count + 1)
+        score = base - np.log10(count + PRIOR) + gains[: len(word)]
+        score[begins] += gains[len(word) :]
+        return _named(names, _answers(parts, texts, times * (count > 0), times * base, times * score))
+
+    return run
 
 
 def _gather(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -361,14 +415,15 @@ def score_texts(docs: DataFrame, modulus: int = 7, out: int = 2) -> DataFrame:
 
     Learns from rows whose crc32(doc_id as text) modulo ``modulus`` is not ``out``. The model is a bigram with a
     Dirichlet prior: (count of the pair + PRIOR * unigram) / (count of the context + PRIOR), where the unigram is the
-    add-one one of the base score. The VOCABULARY most frequent words have ids; other words are one id in pairs, times
-    their share of that id by their own add-one counts, so that each context's probabilities sum to one.
+    add-one one of the base score. All training words and pairs count, however rare.
 
-    Counts are taken over all training texts. Pairs are dealt to shards by a hash; each shard is a trie of its own,
-    stored with quantised probabilities, memory-mapped by the task that answers the shard's queries. Queries are sums
-    for each text and pair, dealt in packed arrays. The most frequent pairs, at most HOT, are known to every worker
-    with the same probabilities, so that no pair is hot in a shard. Shards follow the number of tokens, so their size
-    does not grow. Words are told apart by 64-bit hashes.
+    Pairs of the VOCABULARY most frequent words have 16-bit ids and are dealt to shards by a hash; each shard is a trie
+    of its own, stored with quantised probabilities, memory-mapped by the task that answers the shard's queries.
+    Every other word belongs to a shard by its hash and has an id there; that shard's trie holds the pairs the word
+    ends and those it begins, unless another rare word ends them. Such a word is less frequent than all with ids, so
+    none is hot. Queries are sums for each text and pair, dealt in packed arrays. The most frequent pairs, at most
+    HOT, are known to every worker with the same probabilities, so that no pair is hot in a shard. Shards follow the
+    number of tokens, so their size does not grow. Words are told apart by 64-bit hashes, rare ones by 63 bits.
 
     NULL texts count as empty: the end alone. Without training texts the base score is 0. Repeated rows each count
     and are scored each; a NULL doc_id counts as empty text in the remainder; other columns are ignored.
@@ -382,7 +437,8 @@ def score_texts(docs: DataFrame, modulus: int = 7, out: int = 2) -> DataFrame:
     vocabulary = Vocabulary(top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), n_docs, tokens + n_docs, types + (n_docs > 0))
     shared = spark.sparkContext.broadcast(vocabulary)
     shards = -(-vocabulary.tokens // SHARD) + 1
-    other_shards = -(-int(vocabulary.counts[OTHER]) // SHARD) + shards // 8 + 1
+    # A rare word brings two pairs and their ids, so its shards hold fewer tokens.
+    other_shards = -(-4 * int(vocabulary.counts[OTHER]) // SHARD) + shards // 8 + 1
 
     pairs = train.mapInArrow(_count_pairs(shared, shards), "shard long, pairs binary, counts binary")
     schema = "shard long, trie binary, sizes array<long>, often binary, often_counts binary, often_steps binary"
@@ -401,7 +457,7 @@ def score_texts(docs: DataFrame, modulus: int = 7, out: int = 2) -> DataFrame:
 
     asked = materialise(rows.mapInArrow(_ask(shared, hot, shards, other_shards), QUERIES), "queries")
     one = asked.where("kind = 1").groupBy("shard").cogroup(tries.select("shard", "trie").groupBy("shard")).applyInPandas(_answer_pairs(shared), ANSWERS)
-    two = asked.where("kind = 2").groupBy("shard").applyInPandas(_answer_words, ANSWERS)
+    two = asked.where("kind = 2").groupBy("shard").applyInPandas(_answer_words(shared), ANSWERS)
     texts = asked.where("kind = 0").select("part", "a", "b", "c")
     scored = texts.groupBy("part").cogroup(one.union(two).groupBy("part"))
     result = scored.applyInPandas(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

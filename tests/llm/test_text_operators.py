@@ -296,6 +296,15 @@ def test_lm_small_vocabulary(given, monkeypatch, none):
     assert lm.score_texts(none).count() == 0
 
 
+@pytest.mark.parametrize("which", ["given", "odd"])
+@pytest.mark.parametrize("size", [lm.FIRST, lm.FIRST + 5, 300])
+def test_lm_more_words_than_are_broadcast(which, size, request, monkeypatch):
+    """Pairs of words without a broadcast id are counted one by one: the score is that of the whole vocabulary."""
+    monkeypatch.setattr(lm, "VOCABULARY", size)
+    monkeypatch.setattr(lm, "SHARD", 5_000)
+    test_lm_scores(which, request)
+
+
 def test_elias_fano_and_trie():
     rng = np.random.default_rng(4)
     for n, top in ((1, 1), (5, 3), (1000, 50), (1000, 10**7), (3000, 2**32)):
