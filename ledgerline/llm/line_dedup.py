@@ -14,7 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.llm.common import materialise
 
-#: Words of a line that may bring two documents together, and of an aligned block that is deleted.
+#: Words of a line that alone brings two documents together, and of an aligned block that is deleted.
 ANCHOR_WORDS, BLOCK_WORDS = 3, 25
 
 
@@ -28,17 +28,40 @@ def _lines(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("own"), pa.array(hashes, pa.binary()), pa.array(sizes, pa.binary())], names=["doc_id", "own", "lines", "words"])
 
 
-def _anchors(batches):
-    """(line, doc_id) for the distinct lines of a document that are long enough to stand for an overlap."""
-    for batch in batches:
-        held, docs = [], []
-        for doc, lines, words in zip(batch.column("doc_id").to_pylist(), batch.column("lines").to_pylist(), batch.column("words").to_pylist()):
-            found = np.unique(np.frombuffer(lines, np.uint64)[np.frombuffer(words, np.int32) >= ANCHOR_WORDS])
-            held.append(found)
-            docs.append(np.full(len(found), doc, np.int64))
-        lines, ids = (np.concatenate(x) if x else np.zeros(0) for x in (held, docs))
-        for i in range(0, len(lines), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(lines[i : i + 100_000].view(np.int64)), pa.array(ids[i : i + 100_000])], names=["line", "doc_id"])
+def runs(lines: np.ndarray, words: np.ndarray, least: int) -> list[int]:
+    """Hashes of the shortest runs of two or more non-blank lines that reach ``least`` words, from each line on and up to each line.
+
+    Every line of a block of ``least`` words lies in such a run within the block: in the one that starts at the line
+    or, if the rest of the block is too short for that, in the one that ends with the block.
+    """
+    lines, words = lines[words > 0], words[words > 0]
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    n = np.arange(len(total))
+    end = np.searchsorted(total, total + least)
+    start = np.searchsorted(total, total - least, side="right") - 1
+    forward, backward = end < len(total), start >= 0
+    spans = {*zip(n[forward].tolist(), end[forward].tolist()), *zip(start[backward].tolist(), n[backward].tolist())}
+    raw = lines.tobytes()
+    return [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * b]) for a, b in spans if b - a > 1]
+
+
+def _anchors(least: int):
+    """(line, doc_id) for the distinct lines and runs of lines of a document that are long enough to stand for an overlap."""
+
+    def run(batches):
+        for batch in batches:
+            held, docs = [], []
+            for doc, lines, words in zip(batch.column("doc_id").to_pylist(), batch.column("lines").to_pylist(), batch.column("words").to_pylist()):
+                lines, words = np.frombuffer(lines, np.uint64), np.frombuffer(words, np.int32)
+                # A line that is a block by itself is a key whatever its number of words.
+                found = np.unique(np.concatenate([lines[words >= min(ANCHOR_WORDS, max(least, 1))], np.array(runs(lines, words, least), np.uint64)]))
+                held.append(found)
+                docs.append(np.full(len(found), doc, np.int64))
+            lines, ids = (np.concatenate(x) if x else np.zeros(0) for x in (held, docs))
+            for i in range(0, len(lines), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(lines[i : i + 100_000].view(np.int64)), pa.array(ids[i : i + 100_000])], names=["line", "doc_id"])
+
+    return run
 
 
 def rising(values: list[int]) -> list[int]:
@@ -171,10 +194,12 @@ def _delete(names: list[str]):
 def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` (doc_id, text; others are carried) with n_lines, lines_cut, words_cut and the text left.
 
-    Two documents overlap if they share a line of at least ANCHOR_WORDS words. Each shared line pairs every document
-    that holds it with the first one (smallest doc_id), so that a frequent line makes no more pairs than rows and
-    needs no rarity limit. Each pair is aligned by patience diff on line hashes, blanks within a line made equal;
-    blocks of at least ``least`` words that the alignment has in common are deleted from the later document.
+    Two documents overlap if they share a line of at least ANCHOR_WORDS words, or a shortest run of non-blank lines
+    that reaches ``least`` words, from a line on or up to it. Each shared line or run pairs every document that holds
+    it with the first one (smallest doc_id), so that a frequent one makes no more pairs than rows and needs no rarity
+    limit; and each line of a block that an earlier document holds lies in a run whose first holder is aligned. Each
+    pair is aligned by patience diff on line hashes, blanks within a line made equal; blocks of at least ``least``
+    words that the alignment has in common are deleted from the later document.
 
     A document is never compared with itself, nor are rows of one doc_id with one another. NULL texts stay NULL and
     empty ones empty; a text that is cut whole becomes empty. Rows without a doc_id stay as they are. Repeated rows
@@ -183,7 +208,7 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     key = F.xxhash64("text").alias("own")
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), key)
     rows = materialise(rows.mapInArrow(_lines, "doc_id long, own long, lines binary, words binary"), "lines")
-    anchors = rows.select("doc_id", "lines", "words").mapInArrow(_anchors, "line long, doc_id long")
+    anchors = rows.select("doc_id", "lines", "words").mapInArrow(_anchors(least), "line long, doc_id long")
     firsts = anchors.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("line", "first")
     # Written, so that the join deals both sides itself and can split a frequent line.
     firsts = materialise(firsts, "firsts")

@@ -411,6 +411,41 @@ def test_line_dedup(spark, odd, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_without_a_common_first_holder(spark):
+    """Blocks whose lines were first seen in different documents, and blocks of lines of one or two words."""
+    rng = np.random.default_rng(9)
+    block, short = [sentence(rng, 15) for _ in range(4)], [f"s{k}" if k % 2 else f"s{k} t" for k in range(20)]
+    uneven = [sentence(rng, n) for n in (20, 20, 3)]
+    own = {d: [sentence(rng, 30) for _ in range(2)] for d in range(1, 20)}
+    docs = {d: [own[d][0], block[d - 1], own[d][1]] for d in (1, 2, 3, 4)}
+    docs |= {d: [own[d][0], *block, own[d][1]] for d in (5, 9)} | {d: [own[d][0], *short, own[d][1]] for d in (10, 11)}
+    docs |= {12: [own[12][0], *uneven[:2], own[12][1]], 13: [own[13][0], uneven[2], own[13][1]]}
+    docs |= {d: [own[d][0], *uneven, own[d][1]] for d in (14, 15)}
+    frame = spark.createDataFrame([(d, "\n".join(t)) for d, t in docs.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(frame).collect()}
+    assert got[9] == own[9] and got[11] == own[11] and got[15] == own[15]
+    assert got[14] == [own[14][0], uneven[2], own[14][1]]
+    assert all(got[d] == docs[d] for d in (1, 2, 3, 4, 5, 10, 12, 13))
+
+
+def test_runs_of_lines_cover_every_block():
+    rng = np.random.default_rng(10)
+    for _ in range(50):
+        words = rng.choice([0, 1, 2, 9, 14, 30], rng.integers(1, 40)).astype(np.int32)
+        lines = np.where(words > 0, rng.integers(1, 2**62, len(words)), 0).astype(np.uint64)
+        kept, sizes = lines[words > 0], words[words > 0]
+        keys, spans = set(line_dedup.runs(lines, words, 25)), []
+        for i in range(len(kept)):
+            for j in range(i + 1, len(kept) + 1):
+                if (j - i == 1 and sizes[i] >= 25) or set(line_dedup.runs(kept[i:j], sizes[i:j], 0 + sizes[i:j].sum())) & keys:
+                    spans.append((i, j))
+        for i in range(len(kept)):
+            for j in range(i + 1, len(kept) + 1):
+                if sizes[i:j].sum() >= 25:
+                    inside = {k for a, b in spans if i <= a and b <= j for k in range(a, b)}
+                    assert inside == set(range(i, j))
+
+
 def test_patience():
     assert line_dedup.patience([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.patience([7, 1, 1, 2, 1, 8], [9, 1, 1, 2, 1, 6]) == [(1, 1), (2, 2), (3, 3), (4, 4)]
