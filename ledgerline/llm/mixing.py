@@ -95,18 +95,31 @@ class Plan:
         return source * 1_000 + turn
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` drawn from ``good`` and ``bad`` are good, by inversion; counts may be of any size.
+
+    Ten spreads to either side of the mode hold all that a double-precision draw can tell from 0 and 1.
+    """
+    total, least, most = good + bad, max(0, n - bad), min(good, n)
+    if least == most:
+        return least
+    mode = (n + 1) * (good + 1) // (total + 2)
+    reach = int(10 * np.sqrt(n / total * good * (bad / total) * ((total - n) / max(total - 1, 1)))) + 100
+    least, most = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(least, most, dtype=np.float64)
+    logs = np.concatenate([[0.0], np.cumsum(np.log((good - k) / (k + 1) * ((n - k) / (bad - n + k + 1))))])
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return least + min(int(np.searchsorted(sums, rng.random() * sums[-1], side="right")), most - least)
+
+
 def halves(counts: np.ndarray, first: int, seed: list[int]) -> np.ndarray:
     """How many of each kind fall to the first half, drawn without replacement."""
     rng = np.random.default_rng(seed)
-    total = int(counts.sum())
-    if total < 10**9:
-        return rng.multivariate_hypergeometric(counts, first, method="marginals")
-    # Beyond the generator's range the spread is below one in ten thousand: proportional, rounded at random.
-    exact = counts * (first / total)
-    out = np.floor(exact).astype(np.int64)
-    order = np.argsort(out - exact + rng.random(len(out)) * 1e-6, kind="stable")
-    for i in order[: first - int(out.sum())]:
-        out[i] += 1
+    rest, out = int(counts.sum()), np.zeros(len(counts), np.int64)
+    for i, n in enumerate(counts.tolist()):
+        rest -= n
+        out[i] = hypergeometric(rng, n, rest, first)
+        first -= int(out[i])
     return out
 
 
@@ -114,13 +127,19 @@ def _slots(plan: Plan, shards: int):
     """Rows (shard, slot, source, turn, block, words) of each shard, found by descending a tree of drawn halves."""
 
     def run(batches):
+        # Draws for many slots, near the root, are met by every shard of a task.
+        drawn: dict[tuple[int, int], np.ndarray] = {}
         for frame in batches:
             parts = []
             for shard in frame["id"].tolist():
                 low, high, counts, before = 0, shards, np.array(plan.slots, np.int64), np.zeros(len(plan.slots), np.int64)
                 while high - low > 1:
                     mid = (low + high) // 2
-                    left = halves(counts, min((mid - low) * SHARD, int(counts.sum())), [SEED, low, high])
+                    left = drawn.get((low, high))
+                    if left is None:
+                        left = halves(counts, min((mid - low) * SHARD, int(counts.sum())), [SEED, low, high])
+                        if high - low > 256:
+                            drawn[low, high] = left
                     if shard < mid:
                         high, counts = mid, left
                     else:

@@ -499,6 +499,20 @@ def test_shards_and_permutations(monkeypatch):
         assert length.sum() == round(targets[s]) and not own.duplicated(["turn", "block"]).any()
 
 
+def test_draws_at_any_size():
+    """Counts spread as drawn without replacement, also beyond 10**9, where numpy's generator ends."""
+    for counts in (np.array([5, 0, 9, 20]), np.array([2 * 10**9, 10**8, 0, 19 * 10**8])):
+        total = int(counts.sum())
+        first = total * 2 // 5
+        got = np.array([mixing.halves(counts, first, [7, k]) for k in range(100)])
+        assert (got.sum(axis=1) == first).all() and (got >= 0).all() and (got <= counts).all()
+        for i in np.flatnonzero(counts):
+            share = counts[i] / total
+            spread = np.sqrt(first * share * (1 - share) * (total - first) / (total - 1))
+            z = (got[:, i] - first * share) / spread
+            assert abs(z.mean()) < 0.45 and 0.7 < z.std() < 1.3
+
+
 def test_running_start(spark, monkeypatch):
     monkeypatch.setattr(mixing, "STEP", 3)
     rows = [(i, i % 3 % 2, i % 7) for i in range(200)]
