@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def text_groups(batch, column: str, size: int = 2_000_000):
+    """Slices of a batch of about ``size`` bytes of a text column; a longer text stands alone and whole."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(total, done + size, side="right")))
+        yield batch.slice(start, end - start)
+        start, done = end, int(total[end - 1])
+
+
 class Generations(dict):
     """A map that fills itself through ``find(keys)`` and holds at most two generations of ``limit`` entries."""
 

@@ -80,3 +80,35 @@ measured AS (SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(a
   FROM doc JOIN split USING (rid) JOIN own USING (rid) JOIN char USING (rid) LEFT JOIN covered USING (rid)),
 base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far_chars AND NOT far_words AS kept FROM base"""
+
+
+#: crc32 of a text ``x`` of ASCII characters.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x) + 1), lambda i: CAST(ascii(x[i]) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295)"""
+
+PERIODIC_RUNS = rf"""
+WITH text AS (SELECT row_number() OVER () AS rid, doc_id, COALESCE(CAST(doc_id AS VARCHAR), '') AS x, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS v FROM documents),
+hashed AS (SELECT rid, doc_id, v, len(v) AS n, {_CRC} AS h FROM text),
+tail AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a, h // 10 % 8 AS k FROM hashed),
+turned AS (SELECT rid, doc_id, n, list_transform(range(n), lambda i: v[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + k)) END]) AS w FROM tail),
+word AS (SELECT rid, n, UNNEST(w) AS x, UNNEST(range(n)) AS i FROM turned),
+same AS (SELECT p.rid, p.i, q.i - p.i AS period FROM word p JOIN word q ON p.rid = q.rid AND p.x = q.x AND p.i < q.i AND 4 * (q.i - p.i) <= p.n),
+stretch AS (SELECT rid, period, MIN(i) AS start, COUNT(*) + period AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, period ORDER BY i) AS g FROM same) GROUP BY rid, period, g),
+run AS (SELECT rid, start, length, MIN(period) AS period FROM stretch WHERE length >= greatest(6, 4 * period) GROUP BY rid, start, length),
+listed AS (SELECT rid, COUNT(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM run GROUP BY rid),
+best AS (SELECT * FROM run r WHERE NOT EXISTS (SELECT 1 FROM run o WHERE o.rid = r.rid AND (o.length * r.period > r.length * o.period
+  OR o.length * r.period = r.length * o.period AND (o.start < r.start OR o.start = r.start AND o.period < r.period)))),
+dropped AS (SELECT DISTINCT rid, i FROM run, UNNEST(range(start + period, start + length)) AS t(i)),
+collapsed AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS c FROM word ANTI JOIN dropped USING (rid, i) GROUP BY rid)
+SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(COALESCE(lines, '')) AS runs_sha256, sha256(COALESCE(c, '')) AS collapsed_sha256
+FROM turned LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN collapsed USING (rid)"""
+
+
+HARD_NEGATIVES = """
+WITH sound AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM sound a JOIN sound b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM met WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN met USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score QUALIFY rank <= 5"""

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm import oracles
 from ledgerline.llm.common import table
+from ledgerline.llm.hard_negatives import hard_negatives
 from ledgerline.llm.langid import identify
 from ledgerline.llm.line_dedup import dedup_lines
 from ledgerline.llm.lm import score_texts
@@ -15,6 +17,8 @@ from ledgerline.llm.mixing import mixed_counts
 from ledgerline.llm.near_text import near_duplicates
 from ledgerline.llm.near_vectors import near_vectors
 from ledgerline.llm.packing import best_fit
+from ledgerline.llm.periodic import digest, periodic_runs, planted
+from ledgerline.llm.quality_model import quality_scores
 from ledgerline.llm.quality_rules import judge
 from ledgerline.llm.tokens import public_path, token_counts
 from ledgerline.llm.toxicity import toxicity
@@ -24,6 +28,8 @@ ORACLE: dict[str, str] = {
     "op1_embedding_near_dedup": oracles.NEAR_VECTORS,
     "op6_quality_rules": oracles.quality(),
     "op7_minhash_near_dedup": oracles.NEAR_TEXTS,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
+    "op12_periodic_runs": oracles.PERIODIC_RUNS,
 }
 
 
@@ -80,3 +86,19 @@ def op9_source_mixing(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     return identify(table(spark, root, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, root, "embeddings").withColumn("label", label))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    return digest(periodic_runs(planted(table(spark, root, "documents")), min_length=6, min_powers=4))
+
+
+@query
+def op13_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    return quality_scores(table(spark, root, "documents"), table(spark, root, "labels"))
