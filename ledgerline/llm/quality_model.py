@@ -53,6 +53,12 @@ def word_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (cells[order] % np.uint64(CELLS)).astype(np.int64), np.bincount(owners, minlength=len(words))
 
 
+def in_parts(words: list[str], size: int = 10_000) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_cells``, for many words: what is held on the way does not grow with them."""
+    parts = [word_cells(words[i : i + size]) for i in range(0, len(words), size)] or [word_cells([])]
+    return np.concatenate([c.astype(np.int32) for c, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 def _distinct(batches):
     """Each text as its distinct words and their counts."""
     for batch in batches:
@@ -83,7 +89,7 @@ class Model:
         fresh = count()
         words = [np.array([numbers[w] if w in numbers else numbers.setdefault(w, next(fresh)) for w in (t.split(" ") if t else ())], np.int64) for t in rows["words"]]
         counts = [np.frombuffer(c, "<i4").astype(np.float32) for c in rows["counts"]]
-        cells, sizes = word_cells(list(numbers))
+        cells, sizes = in_parts(list(numbers))
         ends = np.cumsum(sizes)
         shares = [c / max(1.0, float(c @ sizes[w])) for w, c in zip(words, counts)]
         seen, seen_out, seen_bias = np.full(CELLS, 1e-8, np.float32), 1e-8, 1e-8
