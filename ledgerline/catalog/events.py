@@ -119,8 +119,13 @@ def _(i: Inputs) -> DataFrame:
     return lake.read("gold/by_type")
 
 
-@query("file_ingest", """SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-11') AS with_value,
-  ROUND(SUM(value) FILTER (WHERE ts >= TIMESTAMP '2024-01-11'), 4) AS total FROM events GROUP BY 1""")
+#: The first third of the time that the events span, as in ``_slices``.
+_LOW, _THIRD = "(SELECT MIN(epoch(ts)) FROM events)", "(SELECT (MAX(epoch(ts)) - MIN(epoch(ts))) / 3 FROM events)"
+_LATER = f"epoch(ts) >= {_LOW} + {_THIRD}"
+
+
+@query("file_ingest", f"""SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (later) AS with_value,
+  ROUND(SUM(value) FILTER (later), 4) AS total FROM (SELECT *, {_LATER} AS later FROM events) GROUP BY 1""")
 def _(i: Inputs) -> DataFrame:
     """CSV files, the later ones with a new column; a run without new files adds nothing."""
     lake, work = i.lake(), i.folder("stream")
@@ -133,3 +138,19 @@ def _(i: Inputs) -> DataFrame:
     ingest.ingest_stream(lake, "bronze/csv_events", "csv", src, f"{work}/state")
     return lake.read("bronze/csv_events").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.count("value").alias("with_value"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("drifted_csv", f"""SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (part = 2) AS texts, 0 AS missing,
+  ROUND(SUM(CASE part WHEN 0 THEN event_id WHEN 1 THEN value END), 3) AS total
+FROM (SELECT *, CASE WHEN epoch(ts) >= {_LOW} + 2 * {_THIRD} THEN 2 WHEN epoch(ts) >= {_LOW} + {_THIRD} THEN 1 ELSE 0 END AS part FROM events) GROUP BY 1""")
+def _(i: Inputs) -> DataFrame:
+    """One column holds whole numbers in the first files, then fractions, then text: no value is lost on the way."""
+    lake, work = i.lake(), i.folder("stream")
+    reading = [F.col("event_id").cast("string"), F.col("value").cast("string"), F.concat(F.lit("state "), "event_type")]
+    for part, column in zip(_slices(i.table("events")), reading):
+        part.select("event_type", column.alias("reading")).write.mode("append").option("header", True).csv(f"{work}/csv")
+        ingest.ingest_stream(lake, "bronze/drifted", "csv", f"{work}/csv", f"{work}/state")
+    number = F.col("reading").try_cast("double")
+    return lake.read("bronze/drifted").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(number.isNull()).alias("texts"),
+        F.count_if(F.col("reading").isNull() | F.col("_rescued").isNotNull()).alias("missing"), F.round(F.sum(number), 3).alias("total"))

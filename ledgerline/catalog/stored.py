@@ -251,6 +251,62 @@ def _(i: Inputs) -> DataFrame:
     return out
 
 
+_STEPS = ("usage", "prices", "audit", "dimensions", "cost")
+#: The record that the batch keeps of several with one id (and date).
+_KEPT = "QUALIFY ROW_NUMBER() OVER (PARTITION BY {} ORDER BY usage_start_time DESC, workspace_id DESC, sku DESC, cloud DESC, usage_quantity DESC) = 1"
+
+
+def _doubled(prices: DataFrame) -> DataFrame:
+    kind = prices.schema["pricing"].dataType["default"].dataType
+    twice = lambda c: (F.col(c) * 2).cast(kind)
+    pricing = F.col("pricing").withField("default", twice("pricing.default"))
+    return prices.withColumn("pricing", pricing.withField("effective_list.default", twice("pricing.effective_list.default")))
+
+
+@query("reprice_after_failure", using("cost") + f""",
+one AS (SELECT * FROM cost {_KEPT.format('record_id, usage_date')})
+SELECT year(usage_date) AS usage_year, COUNT(*) AS records, {D('SUM(2 * estimated_cost)')} AS total_cost FROM one GROUP BY 1""")
+def _(i: Inputs) -> DataFrame:
+    """All prices change in a run that dies before costs; the next run, which sees no change, makes up for it."""
+    lake, usage, audit = i.lake(), i.usage(), i.audit_raw.drop("_value")
+    batch = lambda prices: DailyBatch(lake, Sources(usage, prices, audit), NOW, grain="year", first="1990-01-01 00:00:00")
+    batch(i.prices).run(_STEPS)
+    dies = batch(_doubled(i.prices))
+    dies.cost = lambda: 1 / 0
+    try:
+        dies.run(_STEPS)
+    except ZeroDivisionError:
+        pass
+    batch(_doubled(i.prices)).run(_STEPS)
+    cost = i.spark.read.parquet(f"{lake.root}/facts/fact_cost")
+    return cost.groupBy(F.year("usage_date").alias("usage_year")).agg(F.count(F.lit(1)).alias("records"), F.sum("estimated_cost").alias("total_cost"))
+
+
+_CORRECTED = "CAST(split_part(record_id, '-', 1) AS BIGINT) % 7 = 0"
+
+
+@query("moved_record", using("workspace", "usage", "price") + f""",
+one AS (SELECT * FROM usage {_KEPT.format('record_id')}),
+placed AS (SELECT *, CASE WHEN {_CORRECTED} THEN usage_start_time + INTERVAL 400 DAY ELSE usage_start_time END AS start FROM one)
+SELECT year(start) AS usage_year, COUNT(*) AS records, {D("SUM(usage_quantity)")} AS quantity, COUNT(*) AS costs, {D('SUM(usage_quantity * unit_price)')} AS total_cost
+FROM placed LEFT JOIN price p ON p.sku = placed.sku AND p.cloud = placed.cloud AND start >= valid_from AND (valid_to IS NULL OR start < valid_to) GROUP BY 1""")
+def _(i: Inputs) -> DataFrame:
+    """Every seventh order's records get another date, mostly in another partition; each is there once, in all layers."""
+    lake, usage, audit = i.lake(), i.usage(), i.audit_raw.drop("_value")
+    corrected = F.split("record_id", "-")[0].cast("long") % 7 == 0
+    later = lambda c: F.when(corrected, F.col(c) + F.expr("INTERVAL 400 DAYS")).otherwise(F.col(c)).cast(usage.schema[c].dataType)
+    second = usage.withColumns({c: later(c) for c in ("usage_start_time", "usage_end_time", "usage_date", "ingestion_date")})
+    for source in (usage, second):
+        # Corrections keep their old times as marks, so all rows are looked at again.
+        sources = Sources(source, i.prices, audit)
+        DailyBatch(lake, sources, NOW, grain="year", first="1990-01-01 00:00:00", lookback_days=20_000, moves=True).run(_STEPS)
+    year = F.year("usage_date").alias("usage_year")
+    bronze, cost = (i.spark.read.parquet(f"{lake.root}/facts/{t}") for t in ("bronze_billing_usage", "fact_cost"))
+    bronze = bronze.groupBy(year).agg(F.count(F.lit(1)).alias("records"), F.sum("usage_quantity").alias("quantity"))
+    cost = cost.groupBy(year).agg(F.count(F.lit(1)).alias("costs"), F.sum("estimated_cost").alias("total_cost"))
+    return bronze.join(cost, "usage_year", "full")
+
+
 # --- control-table layers -------------------------------------------------------------------
 
 

@@ -1,16 +1,18 @@
 """The daily cost and audit batch: ingest, dimensions, facts, checks, anomalies, gold.
 
-Large tables are folders partitioned by date. A run reads the new source rows once, writes the
-touched dates of bronze, and every later layer works on those dates only.
+Large tables are folders partitioned by date. A run reads the new source rows once and writes the
+touched dates of bronze. What later layers have to work on stands in a work list, so that a run
+that died is made up for by the next one, whatever that one reads itself.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.operators.merge import dedup_latest
@@ -18,8 +20,10 @@ from ledgerline.operators.quality import duplicates, failing, run_checks
 from ledgerline.plans import anomalies, dims, facts, gold
 from ledgerline.plans.monitoring import run_steps
 from ledgerline.sources.files import with_lineage
-from ledgerline.sources.tables import Lake, path_exists, replace_partitions, upsert_partitions
+from ledgerline.sources.keyindex import KeyIndex
+from ledgerline.sources.tables import Lake, delete_path, move_partitions, only_partitions, path_exists, replace_partitions, upsert_partitions
 from ledgerline.sources.watermarks import FIRST, advance_watermark, full_scan, incremental_scan, read_watermark
+from ledgerline.sources.worklist import WorkList
 
 
 @dataclass
@@ -84,25 +88,38 @@ def workspace_activity(workspace: DataFrame, usage: DataFrame) -> DataFrame:
     return workspace.join(used, F.col("workspace_id") == F.col("_used"), "left")
 
 
+USAGE, AUDIT = "bronze_billing_usage", "bronze_audit_events"
+STEPS = ("usage", "prices", "audit", "dimensions", "cost", "audit_fact", "rollups", "checks", "anomalies", "gold")
+#: Steps that work on the partitions of the work list.
+LISTED = ("cost", "audit_fact", "rollups", "checks", "anomalies", "gold")
+
+
 class DailyBatch:
     """One run over a lake. ``now`` stamps everything the run writes; ``grain`` is the length of a
     partition (day, month), to be chosen so that partitions are neither tiny nor huge.
 
-    Watermarks move after the last step only. A run that fails leaves them, so the next one reads
-    the same rows again and does the failed work; every step gives the same state when repeated.
-    Rows up to ``lookback_days`` older than the mark are read again, which catches late ones. A price
-    that is new or changed adds the partitions whose usage lies in its period.
+    Partitions that new rows or new prices touch are listed before bronze or the price list is
+    changed, and each later step strikes off what it has done; every step gives the same state when
+    repeated. So a failed step is made up for by the next run, also for prices, which that run no
+    longer sees as changed. Watermarks move after the last step only. Rows up to ``lookback_days``
+    older than the mark are read again, which catches late ones.
+
+    A record is known by its id and date. With ``moves`` it is known by its id alone, and an index of
+    ids finds the partition that a record with a corrected date has to leave.
     """
 
     def __init__(
-        self, lake: Lake, sources: Sources, now: dt.datetime, *, lookback_days: int = 3, grain: str = "day", first: str = FIRST
+        self, lake: Lake, sources: Sources, now: dt.datetime, *, lookback_days: int = 3, grain: str = "day", first: str = FIRST,
+        moves: bool = False,
     ):
         self.lake, self.src, self.now, self.lookback = lake, sources, now, lookback_days
-        self.grain, self.first = grain, first
+        self.grain, self.first, self.moves = grain, first, moves
         self.batch = uuid.uuid4().hex
-        self.touched: dict[str, list] = {}
+        self.read: dict[str, int] = {}
         self.marks: dict[str, tuple[str, str]] = {}
         self.spark = lake.spark
+        self.work = WorkList(self.spark, f"{lake.root}/meta/worklist")
+        self.parts: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.lake.root}/facts/{table}"
@@ -110,8 +127,12 @@ class DailyBatch:
     def _part(self, df: DataFrame, date: str) -> DataFrame:
         return df.withColumn("part_date", F.date_trunc(self.grain, F.col(date)).cast("date"))
 
-    def _save(self, table: str, rows: DataFrame, key: str, date: str) -> dict:
-        return upsert_partitions(self.spark, self.path(table), self._part(rows, date), [key, date], "part_date", unique_source=True)
+    def _replace(self, table: str, rows: DataFrame, source: str, date: str) -> dict:
+        """The listed partitions as a whole; those left without rows are removed."""
+        seen = Observation()
+        rows = self._part(rows, date).observe(seen, F.count(F.lit(1)).alias("inserted"))
+        replace_partitions(self.path(table), rows, "part_date", self.parts[source])
+        return {"inserted": int(seen.get["inserted"])}
 
     def fact(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
@@ -124,29 +145,42 @@ class DailyBatch:
         with_lineage(new, table, self.batch, self.now).write.parquet(staged)
         batch = self.spark.read.parquet(staged)
         seen = batch.agg(F.count(F.lit(1)).alias("n"), F.max(column).cast("string").alias("top")).first()
-        self.touched[table] = []
+        self.read[table] = seen.n
         if not seen.n:
             return {"read": 0, "inserted": 0, "updated": 0}
-        parts = self._part(batch, date).select("part_date").distinct().collect()
-        self.touched[table] = [r.part_date for r in parts]
-        order = [F.desc(column), *[F.desc(c) for c, k in batch.dtypes if not k.startswith("map")]]
-        one = dedup_latest(batch, [key, date], order)
-        done = self._save(table, one, key, date)
+        identity = [key] if self.moves else [key, date]
+        # The latest arrival first, where the source says when that was.
+        arrival = [F.desc(c) for c in ("ingestion_date",) if self.moves and c in batch.columns]
+        order = [*arrival, F.desc(column), *[F.desc(c) for c, k in batch.dtypes if not k.startswith("map")]]
+        one = self._part(dedup_latest(batch, identity, order), date)
+        parts, path = one.select("part_date"), self.path(table)
+        if not self.moves:
+            self.work.add(table, parts)
+            done = upsert_partitions(self.spark, path, one, [key, date], "part_date", unique_source=True)
+        else:
+            index = KeyIndex(self.spark, f"{self.lake.root}/meta/index/{table}", key)
+            gone = f"{self.lake.root}/staging/{table}-moved-{self.batch}"
+            index.moved(one.select(key, "part_date")).write.parquet(gone)
+            moved = self.spark.read.parquet(gone)
+            self.work.add(table, parts.union(moved.select("part_date")))
+            done = move_partitions(self.spark, path, one, key, "part_date", moved)
+            # After the records themselves: until then the index says where a rerun finds the old ones.
+            index.record(one)
         self.marks[table] = (column, seen.top)
         return {"read": seen.n, **done}
 
     def usage(self) -> dict:
-        return self._ingest(self.src.usage, "usage_start_time", "record_id", "usage_date", "bronze_billing_usage")
+        return self._ingest(self.src.usage, "usage_start_time", "record_id", "usage_date", USAGE)
 
     def audit(self) -> dict:
-        return self._ingest(self.src.audit, "event_time", "event_id", "event_date", "bronze_audit_events")
+        return self._ingest(self.src.audit, "event_time", "event_id", "event_date", AUDIT)
 
     def prices(self) -> dict:
-        name, usage = "bronze/bronze_billing_prices", "bronze_billing_usage"
+        name = "bronze/bronze_billing_prices"
         rows = with_lineage(full_scan(self.src.prices, "list_prices"), "list_prices", self.batch, self.now)
-        if self.lake.exists(name) and path_exists(self.spark, self.path(usage)):
-            found = self._repriced(self.lake.read(name), self.fact(usage)).collect()
-            self.touched[usage] = list(dict.fromkeys([*self.touched.get(usage, []), *[r.part_date for r in found]]))
+        if self.lake.exists(name) and path_exists(self.spark, self.path(USAGE)):
+            # Listed first: once the new list is stored, no later run finds a change.
+            self.work.add(USAGE, self._repriced(self.lake.read(name), self.fact(USAGE)))
         return self.lake.merge(name, rows, ["sku_name", "cloud", "price_start_time"])
 
     def _repriced(self, stored: DataFrame, usage: DataFrame) -> DataFrame:
@@ -163,46 +197,61 @@ class DailyBatch:
     def dimensions(self) -> dict:
         lk = self.lake
         lk.insert_missing("dims/dim_environment", dims.environments(self.spark), ["environment"])
-        usage, audit = self._batch("bronze_billing_usage"), self._batch("bronze_audit_events")
+        usage, audit = self._batch(USAGE), self._batch(AUDIT)
         found = dims.discovered_workspaces(usage, audit)
         empty = ["workspace_name", "environment", "region", "business_unit", "department", "cost_center", "owner"]
         found = found.withColumns({c: F.lit(None).cast("string") for c in empty})
         done = lk.merge("dims/dim_workspace", found, ["workspace_id"], unique_source=True, **dims.WORKSPACE_REFRESH)
-        if self.touched["bronze_billing_usage"]:
+        if self.read[USAGE]:
             lk.insert_missing("dims/dim_sku", dims.skus(usage), ["sku"])
             lk.insert_missing("dims/dim_user", dims.billing_users(usage), ["user_id"])
-        if self.touched["bronze_audit_events"]:
+        if self.read[AUDIT]:
             lk.insert_missing("dims/dim_user", dims.audit_users(audit), ["user_id"])
         return done
 
     def _batch(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.lake.root}/staging/{table}-{self.batch}")
 
-    def _touched(self, bronze: str, table: str | None = None) -> DataFrame:
-        """Rows of the partitions that this batch touched: a plain partition filter."""
-        return self.fact(table or bronze).filter(F.col("part_date").isin(self.touched[bronze]))
+    def _listed(self, source: str) -> bool:
+        return not self.parts[source].isEmpty()
+
+    def _touched(self, source: str, table: str | None = None) -> DataFrame:
+        """Rows of the partitions that the work list has for the present step: a plain partition filter."""
+        return only_partitions(self.fact(table or source), self.parts[source], "part_date")
+
+    def _from_list(self, step: str):
+        """The step, given the partitions it has to work on; struck off when it has succeeded."""
+
+        def run() -> dict:
+            upto = self.work.last()
+            pending = self.work.pending(step, upto)
+            self.parts = {t: pending.filter(F.col("source") == t).select("part_date") for t in (USAGE, AUDIT)}
+            done = getattr(self, step)()
+            self.work.strike(step, upto)
+            return done
+
+        return run
 
     def cost(self) -> dict:
-        bronze = "bronze_billing_usage"
-        if not self.touched[bronze]:
+        if not self._listed(USAGE):
             return {}
         w = self.lake.read("dims/dim_workspace")
-        self._save("silver_billing_usage", facts.silver_usage(self._touched(bronze), w), "record_id", "usage_date")
-        silver = self._touched(bronze, "silver_billing_usage")
+        self._replace("silver_billing_usage", facts.silver_usage(self._touched(USAGE), w), USAGE, "usage_date")
+        silver = self._touched(USAGE, "silver_billing_usage")
         cost = facts.cost_fact(silver, self.lake.read("bronze/bronze_billing_prices"), w)
-        return self._save("fact_cost", cost, "cost_id", "usage_date")
+        return self._replace("fact_cost", cost, USAGE, "usage_date")
 
     def audit_fact(self) -> dict:
-        if not self.touched["bronze_audit_events"]:
+        if not self._listed(AUDIT):
             return {}
-        rows = facts.audit_fact(self._touched("bronze_audit_events"), self.lake.read("dims/dim_workspace"))
-        return self._save("fact_audit_event", rows, "audit_event_id", "event_date")
+        rows = facts.audit_fact(self._touched(AUDIT), self.lake.read("dims/dim_workspace"))
+        return self._replace("fact_audit_event", rows, AUDIT, "event_date")
 
     def rollups(self) -> dict:
         """Daily aggregates of the touched partitions, replaced as a whole."""
         out = []
-        if self.touched["bronze_billing_usage"]:
-            cost = self._touched("bronze_billing_usage", "fact_cost")
+        if self._listed(USAGE):
+            cost = self._touched(USAGE, "fact_cost")
             warehouse = ["usage_date", "workspace_id", "warehouse_id"]
             out += [
                 ("workspace_day", "usage_date", gold.workspace_day(cost)),
@@ -213,25 +262,26 @@ class DailyBatch:
                 ("warehouse_day", "usage_date", gold.rollup_cost(cost, warehouse, not_null="warehouse_id")),
                 ("fact_cost_allocation", "allocation_date", facts.allocate(cost, facts.TAGS)),
             ]
-        if self.touched["bronze_audit_events"]:
-            audit = self._touched("bronze_audit_events", "fact_audit_event")
+        if self._listed(AUDIT):
+            audit = self._touched(AUDIT, "fact_audit_event")
             out.append(("gold_audit_summary", "event_date", gold.audit_summary(audit)))
         for table, date, rows in out:
-            replace_partitions(self.path(table), self._part(rows, date), "part_date")
+            source = AUDIT if table == "gold_audit_summary" else USAGE
+            replace_partitions(self.path(table), self._part(rows, date), "part_date", self.parts[source])
         return {}
 
     def checks(self) -> dict:
         """The rules over the partitions of this run; prices and workspaces as a whole."""
         run = uuid.uuid4().hex
-        usage, audit, w = "bronze_billing_usage", "bronze_audit_events", self.lake.read("dims/dim_workspace")
+        usage, audit, w = USAGE, AUDIT, self.lake.read("dims/dim_workspace")
         todo = [(self.lake.read("bronze/bronze_billing_prices"), "bronze_billing_prices", price_rules())]
-        if self.touched[usage]:
+        if self._listed(usage):
             todo += [
                 (self._touched(usage), usage, usage_rules()),
                 (self._touched(usage, "fact_cost"), "fact_cost", cost_rules()),
                 (workspace_activity(w, self._touched(usage)), "dim_workspace", workspace_rules()),
             ]
-        if self.touched[audit]:
+        if self._listed(audit):
             todo.append((self._touched(audit), audit, audit_rules()))
         log = None
         for df, name, rules in todo:
@@ -244,7 +294,7 @@ class DailyBatch:
 
     def anomalies(self) -> dict:
         """Detected on the daily aggregates, which carry the same sums as the fact."""
-        if not self.touched["bronze_billing_usage"]:
+        if not self._listed(USAGE):
             return {}
         day, sku = self.fact("workspace_day"), self.fact("gold_sku_cost")
         resources = {"job_id": "gold_job_cost", "cluster_id": "gold_cluster_cost", "warehouse_id": "warehouse_day"}
@@ -260,16 +310,20 @@ class DailyBatch:
 
     def gold(self) -> dict:
         """Changes against the previous day and month, from one row per workspace and day."""
-        if not self.touched["bronze_billing_usage"]:
+        if not self._listed(USAGE):
             return {}
         day = self.fact("workspace_day")
         self.lake.overwrite("gold/gold_workspace_daily_cost", gold.workspace_daily(day))
         self.lake.overwrite("gold/gold_workspace_monthly_cost", gold.workspace_monthly(day))
         return {}
 
-    def run(self) -> list[dict]:
-        steps = ["usage", "prices", "audit", "dimensions", "cost", "audit_fact", "rollups", "checks", "anomalies", "gold"]
-        done = run_steps(self.lake, "daily", [(s, getattr(self, s)) for s in steps])
+    def run(self, steps: Sequence[str] = STEPS) -> list[dict]:
+        """All steps, or some in their order; what those left out would have done stays on the work list."""
+        done = run_steps(self.lake, "daily", [(s, self._from_list(s) if s in LISTED else getattr(self, s)) for s in steps])
         for table, (column, top) in self.marks.items():
             advance_watermark(self.lake, f"ingest_{table}", table, column, top, self.now)
+        self.work.forget(LISTED)
+        for table in (USAGE, AUDIT):
+            for name in (f"{table}-{self.batch}", f"{table}-moved-{self.batch}"):
+                delete_path(self.spark, f"{self.lake.root}/staging/{name}")
         return done

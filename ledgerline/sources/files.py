@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.sources.tables import Lake, merge_schemas, path_exists
+from ledgerline.sources.drift import fitted, widened
+from ledgerline.sources.tables import Lake, path_exists
 
 
 def from_rows(spark: SparkSession, rows: Sequence, schema) -> DataFrame:
@@ -91,10 +92,17 @@ def stored_schema(spark: SparkSession, folder: str) -> tuple[T.StructType | None
     if not path_exists(spark, folder):
         return None, None
     rows = spark.read.text(folder, wholetext=True).select("value", F.col("_metadata.file_modification_time").alias("at"))
-    newest = rows.orderBy(F.desc("at"), F.desc(F.length("value"))).first()
+    newest = rows.orderBy(F.get_json_object("value", "$.version").cast("int").desc_nulls_last()).first()
     return T.StructType.fromJson(json.loads(newest[0])), newest[1]
 
 
+def store_schema(spark: SparkSession, folder: str, schema: T.StructType) -> None:
+    """Add a version to the stored schemas."""
+    version = spark.read.text(folder, wholetext=True).count() if path_exists(spark, folder) else 0
+    text = json.dumps({**schema.jsonValue(), "version": version + 1})
+    spark.createDataFrame([(text,)], "value STRING").coalesce(1).write.mode("append").text(folder)
+
+
 def list_files(spark: SparkSession, src: str, after: dt.datetime | None = None) -> DataFrame:
     """Paths below a folder, from the file listing alone: ``path`` to read, ``file`` as in lineage."""
     reader = spark.read.format("binaryFile")
@@ -109,23 +117,23 @@ def _since(reader, after: dt.datetime | None):
 
 
 def resolve_schema(spark: SparkSession, fmt: str, src: str, folder: str) -> T.StructType:
-    """The stored schema plus newly seen columns; stored again when it grew.
+    """The stored schema plus newly seen columns and types; stored again when it grew.
 
-    Only files newer than the stored schema are looked at. Types once stored stay: a value that no
-    longer fits reads as NULL.
+    Only files newer than the stored schema are looked at. A column whose new values do not fit
+    becomes wider: doubles for whole numbers, text for the rest.
     """
     known, at = stored_schema(spark, folder)
     if known is not None and list_files(spark, src, at).limit(1).count() == 0:
         return known
     if fmt == "csv":
-        seen = infer_csv(spark, src, at)
+        seen = infer_csv(spark, src, at, "void")
     elif fmt == "json":
-        seen = _since(spark.read, at).json(src).schema
+        seen = infer_json(spark, src, at, known)
     else:
         seen = _since(spark.read, at).option("mergeSchema", True).format(fmt).load(src).schema
-    schema = merge_schemas(known or T.StructType([]), seen)
+    schema = widened(known or T.StructType([]), seen)
     if schema != known:
-        spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("append").text(folder)
+        store_schema(spark, folder, schema)
     return schema
 
 
@@ -159,22 +167,34 @@ def csv_columns(spark: SparkSession, src: str, after: dt.datetime | None = None)
     return widest
 
 
-def infer_csv(spark: SparkSession, src: str, after: dt.datetime | None = None) -> T.StructType:
-    """Column types from one pass: the first type that all values of a column parse as."""
+def infer_json(spark: SparkSession, src: str, after: dt.datetime | None, known: T.StructType | None) -> T.StructType:
+    """Spark's own inference; a known column without a value in the new files says nothing about its type."""
+    df = _since(spark.read, after).json(src)
+    have = {f.name: f.dataType for f in (known or T.StructType([])).fields}
+    doubtful = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and not isinstance(have.get(f.name, f.dataType), T.StringType)]
+    if not doubtful:
+        return df.schema
+    filled = df.agg(*[F.count(F.col(f"`{c}`")).alias(str(k)) for k, c in enumerate(doubtful)]).first()
+    empty = {c for k, c in enumerate(doubtful) if not filled[k]}
+    return T.StructType([T.StructField(f.name, T.NullType() if f.name in empty else f.dataType, True) for f in df.schema.fields])
+
+
+def infer_csv(spark: SparkSession, src: str, after: dt.datetime | None = None, empty: str = "string") -> T.StructType:
+    """Column types from one pass: the first type that all values of a column parse as, ``empty`` without values."""
     names = csv_columns(spark, src, after)
     text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     df = _since(spark.read, after).schema(text).option("header", True).csv(src)
-    kinds = ["bigint", "double", "boolean", "timestamp"]
+    kinds = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
     tests = [
-        F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(k).isNull()).alias(f"{i}_{k}")
+        F.count_if(F.col(f"`{n}`").isNotNull() & fitted(F.col(f"`{n}`"), kind).isNull()).alias(f"{i}_{k}")
         for i, n in enumerate(names)
-        for k in kinds
+        for k, kind in kinds.items()
     ] + [F.count(F.col(f"`{n}`")).alias(f"{i}_n") for i, n in enumerate(names)]
     bad = df.agg(*tests).first()
     out = []
     for i, n in enumerate(names):
-        fits = [k for k in kinds if bad[f"{i}_n"] and bad[f"{i}_{k}"] == 0]
-        out.append(f"`{n}` {fits[0] if fits else 'string'}")
+        fits = [k for k in kinds if bad[f"{i}_{k}"] == 0]
+        out.append(f"`{n}` {empty if not bad[f'{i}_n'] else fits[0] if fits else 'string'}")
     return T.StructType.fromDDL(", ".join(out))
 
 

@@ -34,6 +34,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _files(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    fs, p = _files(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _files(spark, path)
+    fs.mkdirs(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _files(spark, path)
+    fs.delete(p, True)
+
+
 class Lake:
     """Named tables (``layer/table``) below one root folder."""
 
@@ -167,32 +188,74 @@ def upsert_partitions(
     keys = list(dict.fromkeys([*keys, partition]))
     seen = Observation()
     if path_exists(spark, path):
-        old = spark.read.parquet(path)
-        touched = source.select(partition).distinct()
-        values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_LISTED_PARTITIONS:
-            some = [v for v in values if v is not None]
-            hit = F.col(partition).isin(some) if some else F.lit(False)
-            if len(some) < len(values):
-                hit = hit | F.col(partition).isNull()
-            old = old.filter(hit)
-        else:
-            old = old.alias("o").join(
-                touched.alias("n"), F.col(f"o.{partition}").eqNullSafe(F.col(f"n.{partition}")), "left_semi"
-            )
+        old = only_partitions(spark.read.parquet(path), source.select(partition), partition)
         state = upsert(old, source, keys, **options)
     else:
         state = first_load(source, keys, options.get("unique_source", False))
-    out = state.observe(seen, *action_metrics()).drop(ACTION).hint("rebalance", partition)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    _overwrite(state.observe(seen, *action_metrics()).drop(ACTION), path, partition)
     return {k: int(v) for k, v in seen.get.items()}
 
 
-def replace_partitions(path: str, df: DataFrame, partition: str) -> None:
-    """Replace exactly the partitions present in ``df``: groups that vanished from them go too."""
+def only_partitions(df: DataFrame, parts: DataFrame, partition: str) -> DataFrame:
+    """The rows of ``df`` in the partitions that ``parts`` names: a static filter for few of them, else a semi join."""
+    touched = parts.select(partition).distinct()
+    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if len(values) > MAX_LISTED_PARTITIONS:
+        same = F.col(f"o.{partition}").eqNullSafe(F.col(f"n.{partition}"))
+        return df.alias("o").join(touched.alias("n"), same, "left_semi")
+    some = [v for v in values if v is not None]
+    hit = F.col(partition).isin(some) if some else F.lit(False)
+    if len(some) < len(values):
+        hit = hit | F.col(partition).isNull()
+    return df.filter(hit)
+
+
+def _file_names(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _files(spark, path)
+    return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+
+def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None = None) -> None:
+    """Swap in the partitions that ``df`` has rows for; of ``parts``, those that it has none for are removed.
+
+    A partition whose files are still there after the swap was not written. Only folder names are kept on the driver.
+    """
+    spark, held = df.sparkSession, {}
+    for row in [] if parts is None else parts.select(partition).distinct().toLocalIterator():
+        folder = f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}"
+        held[folder] = next(iter(_file_names(spark, folder)), None)
     df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
+    for folder, name in held.items():
+        if name is not None and name in _file_names(spark, folder):
+            delete_path(spark, folder)
+
+
+def move_partitions(
+    spark: SparkSession, path: str, source: DataFrame, key: str, partition: str, moved: DataFrame
+) -> dict[str, int]:
+    """``upsert_partitions`` for records that may change their partition; ``source`` has one row for each key.
+
+    ``moved`` (key, partition) says where records of ``source`` are stored so far, if elsewhere. Old and new partitions
+    are written by one job, and those left without a row are removed after it; repeated, it gives the same state.
+    """
+    if not path_exists(spark, path):
+        return upsert_partitions(spark, path, source, [key], partition, unique_source=True)
+    seen = Observation()
+    both = source.select(partition).union(moved.select(partition)).distinct()
+    old = only_partitions(spark.read.parquet(path), both, partition)
+    state = upsert(old.join(moved.select(key, partition), [key, partition], "left_anti"), source, [key, partition], unique_source=True)
+    _overwrite(state.observe(seen, *action_metrics()).drop(ACTION), path, partition, moved)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def replace_partitions(path: str, df: DataFrame, partition: str, parts: DataFrame | None = None) -> None:
+    """Replace exactly the partitions present in ``df``: groups that vanished from them go too.
+
+    With ``parts``, partitions named there for which ``df`` has no row are removed.
+    """
+    _overwrite(df, path, partition, parts)
 
 
 def ensure_layers(spark: SparkSession, root: str, layers: Sequence[str] = ("bronze", "silver", "gold", "dims", "meta")) -> None:

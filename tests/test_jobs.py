@@ -1,9 +1,11 @@
 """Stored tables, golden rows, pipelines, streams and plans."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import DATA
 from ledgerline.catalog.registry import Inputs, NOW
@@ -12,8 +14,10 @@ from ledgerline.operators.features import feature_table
 from ledgerline.plans import anomalies, dims, facts, gold, governance, medallion, monitoring
 from ledgerline.plans.daily import DailyBatch, Sources
 from ledgerline.plans.specs import SPECS, conform
-from ledgerline.sources import files, watermarks
-from ledgerline.sources.tables import replace_partitions, upsert_partitions
+from ledgerline.sources import drift, files, watermarks
+from ledgerline.sources.keyindex import KeyIndex
+from ledgerline.sources.tables import list_names, make_folder, move_partitions, replace_partitions, upsert_partitions
+from ledgerline.sources.worklist import WorkList
 from ledgerline.streaming import events as ev
 from ledgerline.streaming import ingest
 
@@ -255,6 +259,36 @@ def test_csv_ingest_grows_schema_and_loads_each_file_once(spark, lake, folder):
         ingest.ingest_stream(lake, "bronze/t", "csv", src, state)
 
 
+def test_drifting_types_lose_no_value(spark, lake, folder):
+    """Whole numbers, fractions, text in turn; empty columns, long whole numbers and late misfits on the way."""
+    src, state = f"{folder}/csv", f"{folder}/state"
+
+    def load(*rows):
+        spark.createDataFrame(list(rows), "a string, b string, c string").coalesce(1).write.option("header", True).mode("append").csv(src)
+        ingest.ingest_stream(lake, "bronze/t", "csv", src, state)
+        out = lake.read("bronze/t")
+        return dict(out.dtypes), {(r.a, r.b, r.c) for r in out.collect()}
+
+    big = "9007199254740993"
+    kinds, rows = load(("1", big, "x"), ("2", None, None))
+    assert (kinds["a"], kinds["b"]) == ("bigint", "bigint") and (1, int(big), "x") in rows
+    kinds, rows = load((None, None, None))
+    assert (kinds["a"], kinds["b"]) == ("bigint", "bigint") and len(rows) == 3
+    # Doubles hold 1 and 2, but not the long number: that column becomes text.
+    kinds, rows = load(("2.5", "0.5", None))
+    assert (kinds["a"], kinds["b"]) == ("double", "string") and {r[1] for r in rows} == {big, None, "0.5"} and {r[0] for r in rows} == {1.0, 2.0, None, 2.5}
+    kinds, rows = load(("three", "7", "y"))
+    assert kinds["a"] == "string" and {r[0] for r in rows} == {"1.0", "2.0", None, "2.5", "three"} and len(rows) == 5
+    # What does not fit a stored type is kept beside it, counted, and comes back once the type is wide enough.
+    schema = T.StructType.fromDDL("a double, n bigint")
+    late = drift.typed(spark.createDataFrame([("1.5", "1"), ("x", "2.5"), (big, None)], "a string, n string"), schema)
+    assert {(r.a, r.n, str(r._rescued)) for r in late.collect()} == {(1.5, 1, "None"), (None, None, "{'a': 'x', 'n': '2.5'}"), (None, None, "{'a': '%s'}" % big)}
+    assert {(r.column, r["values"]) for r in drift.rescued_counts(late).collect()} == {("a", 2), ("n", 1)}
+    lake.append("bronze/u", late)
+    assert drift.settle(lake, "bronze/u", T.StructType.fromDDL("a string, n double")).simpleString() == "struct<a:string,n:double>"
+    assert {(r.a, r.n, r._rescued is None) for r in lake.read("bronze/u").collect()} == {("1.5", 1.0, True), ("x", 2.5, True), (big, None, True)}
+
+
 def test_json_schema_store(spark, folder):
     src, store = f"{folder}/json", f"{folder}/store"
     spark.createDataFrame([(1,)], "a int").write.mode("append").json(src)
@@ -262,6 +296,8 @@ def test_json_schema_store(spark, folder):
     spark.createDataFrame([(1, "x")], "a int, b string").write.mode("append").json(src)
     assert files.resolve_schema(spark, "json", src, store).names == ["a", "b"]
     assert files.stored_schema(spark, store)[0].names == ["a", "b"]
+    spark.createDataFrame([(1.5, None)], "a double, b string").write.mode("append").json(src)
+    assert files.resolve_schema(spark, "json", src, store).simpleString() == "struct<a:double,b:string>"
 
 
 def test_batch_writer_skips_committed_batches(spark, lake):
@@ -342,3 +378,65 @@ def test_no_query_uses_a_pairing_join(spark):
     for name in ("workspace_daily_cost", "rank_family", "pit_training_set", "overlapping_prices", "median_price", "executive_kpis", "minmax_norm"):
         plan = _plan(entry.queries()[name](spark, DATA))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+def test_work_list_outlives_a_run(spark, folder):
+    days = lambda *d: spark.createDataFrame([(dt.date(2024, 1, x),) for x in d], "part_date date")
+    work = WorkList(spark, f"{folder}/work")
+    rows = lambda step, upto=None: sorted((r.source, r.part_date.day) for r in work.pending(step, upto).collect())
+    assert work.last() == 0 and rows("cost") == []
+    work.add("usage", days(1, 1, 2))
+    upto = work.last()
+    work.add("usage", days(2, 3))
+    work.add("audit", days(7))
+    assert rows("cost") == [("audit", 7), ("usage", 1), ("usage", 2), ("usage", 3)]
+    # What was listed while a step ran is not struck off with what it had taken.
+    work.strike("cost", upto)
+    assert rows("cost") == [("audit", 7), ("usage", 2), ("usage", 3)] and rows("gold", upto) == [("usage", 1), ("usage", 2)]
+    work.forget(["cost", "gold"])
+    assert rows("gold") == [("audit", 7), ("usage", 1), ("usage", 2), ("usage", 3)]
+    for step in ("cost", "gold"):
+        work.strike(step, work.last())
+    work.strike("cost", upto)
+    work.forget(["cost", "gold"])
+    assert rows("cost") == rows("gold") == [] and list_names(spark, f"{folder}/work/todo") == []
+    # Numbers go on above the marks; a listing whose job did not end is not one.
+    assert work.add("usage", days(5)) == 4 and rows("cost") == [("usage", 5)]
+    make_folder(spark, f"{folder}/work/todo/00000005")
+    assert rows("cost") == [("usage", 5)] and work.add("usage", days(6)) == 6
+
+
+def test_key_index_and_moved_records(spark, folder):
+    row = lambda *r: spark.createDataFrame([(k, dt.date(2024, 1, d), v) for k, d, v in r], "id string, part_date date, v int")
+    index, path = KeyIndex(spark, f"{folder}/index", "id", runs=2), f"{folder}/fact"
+    assert index.find(row(("a", 1, 0))).collect() == []
+
+    def load(source):
+        moved = index.moved(source)
+        done = move_partitions(spark, path, source, "id", "part_date", spark.createDataFrame(moved.collect(), moved.schema))
+        index.record(source)
+        return done
+
+    state = lambda: {(r.id, r.part_date.day, r.v) for r in spark.read.parquet(path).collect()}
+    load(row(("a", 1, 0), ("b", 2, 0), ("c", 2, 0), (None, 2, 0)))
+    assert load(row(("a", 2, 1), ("c", 2, 1))) == {"inserted": 1, "updated": 1, "unchanged": 2}
+    assert state() == {("a", 2, 1), ("b", 2, 0), ("c", 2, 1), (None, 2, 0)}
+    assert not os.path.exists(f"{path}/part_date=2024-01-01")
+    for k in range(4):
+        load(row(("b", 3 + k, k)))
+    # Runs were merged on the way, and the newest place of each key is kept.
+    assert {r.id: r.part_date.day for r in index.find(row(("a", 1, 0), ("b", 1, 0), ("c", 1, 0), ("d", 1, 0))).collect()} == {"a": 2, "b": 6, "c": 2}
+    assert len(list_names(spark, f"{folder}/index")) <= 3
+    # A move that died before the index was told is repeated with the same result.
+    late = row(("a", 9, 5))
+    move_partitions(spark, path, late, "id", "part_date", index.moved(late))
+    load(late)
+    assert [r for r in spark.read.parquet(path).where("id IN ('a', 'b')").orderBy("id").select("id", "v").collect()] == [("a", 5), ("b", 3)]
+
+
+def test_replaced_partitions_without_rows_go(spark, folder):
+    path = f"{folder}/t"
+    frame = lambda *r: spark.createDataFrame(list(r), "k int, d string")
+    replace_partitions(path, frame((1, "x"), (2, "y"), (3, "z"), (4, None)), "d")
+    replace_partitions(path, frame((5, "x")), "d", frame((0, "x"), (0, "y"), (0, None), (0, "never")))
+    assert sorted((r.k, r.d) for r in spark.read.parquet(path).collect()) == [(3, "z"), (5, "x")]
