@@ -15,10 +15,11 @@ from ledgerline.llm.graph import components
 TREES, LEAF, FITTED, LEVELS = 8, 512, 2_000, 8
 #: Half the width of the overlap at a split, in spreads of the projected difference of two vectors at the threshold.
 OVERLAP = 0.5
-#: A split that would put more than this share of a node on both sides is not made. Rows of a block of a large leaf.
-#: Rows that are routed together.
-STUCK, BLOCK, ROUTED_ROWS = 0.7, 2_048, 2_000
-ROUTED = "rep long, label {0}, copies long, vector binary, node long"
+#: A split that would put more than this share of a node on both sides is not made: such vectors lie closer than the
+#: splits can tell apart, and are compared in blocks. Rows of a block of a large leaf, rows of it that are compared
+#: together, leaves that are looked up together, rows that are routed together.
+STUCK, BLOCK, ROWS, LEAVES, ROUTED_ROWS = 0.35, 2_048, 256, 1_024, 2_000
+ROUTED = "num long, rep long, label {0}, copies long, vector binary, node long"
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -40,7 +41,7 @@ def _fit(threshold: float):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         node, total = int(frame["node"].iloc[0]), int(frame["total"].iloc[0])
-        x = _matrix(frame.sort_values("rep")["vector"])
+        x = _matrix(frame.sort_values("num")["vector"])
         share = total / len(x)
         count = 2**LEVELS - 1
         cuts, at = np.full(count, np.nan), {0: np.arange(len(x))}
@@ -78,7 +79,7 @@ def _route(threshold: float):
                     if not len(at):
                         continue
                     if k >= len(cuts) or np.isnan(cuts[k]):
-                        leaf = rows.iloc[at][["rep", "label", "copies", "vector"]].copy()
+                        leaf = rows.iloc[at][["num", "rep", "label", "copies", "vector"]].copy()
                         leaf["node"] = int(np.random.default_rng([int(node) & (2**63 - 1), k + 1]).integers(1, 2**62))
                         parts.append(leaf)
                         continue
@@ -90,66 +91,71 @@ def _route(threshold: float):
     return run
 
 
-def _smallest(ids: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For each id the smallest one that the pairs of positions reach from it; equal ids are one."""
-    names, place = np.unique(ids, return_inverse=True)
-    label = np.arange(len(names))
-    linked = [(place[p], place[q]) for p, q in pairs if len(p)]
-    changed = True
-    while changed:
-        before = label.copy()
-        for p, q in linked:
-            least = np.minimum(label[p], label[q])
-            np.minimum.at(label, p, least)
-            np.minimum.at(label, q, least)
-        label = label[label]
-        changed = not np.array_equal(before, label)
-    return names[label][place]
+def _smallest(linked: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """For each row the smallest name that links reach from it; each row of the table is looked at once."""
+    out, open_ = names.copy(), linked.any(axis=1)
+    for start in np.argsort(names, kind="stable").tolist():
+        if not open_[start]:
+            continue
+        front = np.array([start])
+        while len(front):
+            open_[front] = False
+            out[front] = names[start]
+            front = np.flatnonzero(linked[front].any(axis=0) & open_)
+    return out
+
+
+def _marks(frame: pd.DataFrame, node: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) for all leaves before ``node`` that the rows are in."""
+    sizes = np.array([len(x) for x in frame["leaves"]])
+    leaf = np.concatenate([np.asarray(x, np.int64) for x in frame["leaves"]])
+    row = np.repeat(np.arange(len(frame)), sizes)
+    return row[leaf < node], leaf[leaf < node]
 
 
 def _compare(threshold: float):
     """Links of two blocks of a leaf: for each member the new linked rows, and the smallest member of its group there.
 
-    A pair counts in the first leaf, by number, that both members are in; so a pair that meets in several trees is
-    counted once and no list of pairs leaves the task.
+    A pair counts in the first leaf, by number, that both members are in. Pairs are cells of a table, links as well as
+    earlier meetings (a product of the rows' marks for earlier leaves), so no list of pairs is made and a dense group
+    costs no more than a sparse one.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         node = int(frame["node"].iloc[0])
         low, high = int(frame["low"].iloc[0]), int(frame["high"].iloc[0])
-        frame = frame.sort_values("rep")
-        a = frame if low == high else frame[frame["block"] == low]
-        b = frame if low == high else frame[frame["block"] == high]
-        empty = pd.DataFrame({"rep": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "peer": pd.Series(dtype="int64")})
-        if not len(a) or not len(b):
-            return empty
-        reps = [f["rep"].to_numpy() for f in (a, b)]
-        copies = [f["copies"].to_numpy() for f in (a, b)]
-        width = max(map(len, frame["leaves"]))
-        codes = []
-        for side, f in enumerate((a, b)):
-            c = np.full((len(f), width), -1 - side, np.int64)
-            for i, leaves in enumerate(f["leaves"]):
-                c[i, : len(leaves)] = leaves
-            codes.append(c)
-        x, y = _matrix(a["vector"]), _matrix(b["vector"])
-        links = {0: np.zeros(len(a), np.int64), 1: np.zeros(len(b), np.int64)}
-        both, pairs = np.concatenate(reps), []
-        step = max(1, 500_000 // len(y))
-        for start in range(0, len(x), step):
-            i, j = np.nonzero(x[start : start + step] @ y.T >= threshold)
-            i += start
-            keep = reps[0][i] < reps[1][j] if low == high else reps[0][i] != reps[1][j]
-            i, j = i[keep], j[keep]
-            pairs.append((i.astype(np.int32), (j + len(a)).astype(np.int32)))
-            few = max(1, 4_000_000 // width**2)
-            for k in range(0, len(i), few):
-                p, q = i[k : k + few], j[k : k + few]
-                shared = np.where((codes[0][p][:, :, None] == codes[1][q][:, None, :]).any(axis=2), codes[0][p], np.iinfo(np.int64).max)
-                new = shared.min(axis=1) == node
-                np.add.at(links[0], p[new], copies[1][q[new]])
-                np.add.at(links[1], q[new], copies[0][p[new]])
-        out = pd.DataFrame({"rep": both, "links": np.concatenate([links[0], links[1]]), "peer": _smallest(both, pairs)})
+        frame = frame.sort_values("num", ignore_index=True)
+        block = frame["block"].to_numpy()
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("num", "rep", "links", "peer")})
+        x, copies, rep = _matrix(frame["vector"]), frame["copies"].to_numpy(), frame["rep"].to_numpy()
+        row, leaf = _marks(frame, node)
+        # A leaf says something about a pair only if two rows are in it.
+        names, place, size = np.unique(leaf, return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(size > 1)
+        number = np.full(len(names), -1)
+        number[shared] = np.arange(len(shared))
+        row, place = row[number[place] >= 0], number[place][number[place] >= 0]
+        linked = np.zeros((len(frame), len(frame)), bool)
+        links = np.zeros(len(frame), np.int64)
+        for start in range(0, len(left), ROWS):
+            some = left[start : start + ROWS]
+            near = x[some] @ x[right].T >= threshold
+            near &= some[:, None] != right[None, :]
+            if not near.any():
+                continue
+            linked[np.ix_(some, right)] = near
+            for k in range(0, len(shared), LEAVES):
+                here = (place >= k) & (place < k + LEAVES)
+                marks = np.zeros((len(frame), min(LEAVES, len(shared) - k)), np.float32)
+                marks[row[here], place[here] - k] = 1
+                near &= marks[some] @ marks[right].T == 0
+            links[some] += near @ copies[right]
+            if low != high:
+                links[right] += near.T @ copies[some]
+        linked |= linked.T
+        out = pd.DataFrame({"num": frame["num"], "rep": rep, "links": links, "peer": _smallest(linked, rep)})
         return out[(out["links"] > 0) | (out["peer"] != out["rep"])]
 
     return run
@@ -168,22 +174,27 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     A task returns counts and, for each member of a linked group, the smallest member there, never its pairs. Links
     can be missed only if all trees part a pair. Vectors that are NULL, zero, or hold a NULL or non-finite component,
     and those with a NULL label or vec_id, link with nothing and are kept. Vectors of different length never link.
-    Repeated rows are linked like any others; other columns are ignored; an empty table gives no row.
+    Repeated rows are linked like any others, and so are different vectors of one vec_id, which each have their own
+    count; a tie with the threshold links; other columns are ignored; an empty table gives no row.
     """
     spark, kind = vectors.sparkSession, vectors.schema["label"].dataType.simpleString()
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    rows = rows.withColumn("norm", norm)
-    sound = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce((F.col("norm") > 0) & (F.col("norm") < F.lit(float("inf"))), F.lit(False))
+    # Components are scaled by the largest one first, so that squares neither overflow nor vanish.
+    rows = rows.withColumn("top", F.nullif(F.array_max(F.transform("embedding", lambda x: F.abs(x))), F.lit(0.0)))
+    rows = rows.withColumn("norm", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + (x / F.col("top")) * (x / F.col("top")))))
+    finite = F.col("norm").isNotNull() & (F.col("top") < F.lit(float("inf")))
+    sound = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))
     rows = rows.withColumn("ok", sound).withColumn("a", F.xxhash64("embedding")).withColumn("b", F.xxhash64(F.lit(1), "embedding"))
     same = ["label", "a", "b"]
     good = rows.where("ok")
-    folded = good.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"), F.first("norm").alias("norm"))
-    unit = F.transform("embedding", lambda x: x / F.col("norm"))
-    folded = materialise(folded.select(*same, "rep", "copies", unit.alias("unit")), "folded")
+    folded = good.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"), F.first("norm").alias("norm"), F.first("top").alias("top"))
+    unit = F.transform("embedding", lambda x: x / F.col("top") / F.col("norm"))
+    # Numbers tell folded rows apart: one vec_id may have several vectors.
+    folded = folded.select(F.monotonically_increasing_id().alias("num"), *same, "rep", "copies", unit.alias("unit"))
+    folded = materialise(folded, "folded")
 
     schema = ROUTED.format(kind)
-    packed = folded.select("rep", "label", "copies", "unit").mapInPandas(_pack, f"rep long, label {kind}, copies long, vector binary, size long")
+    packed = folded.select("num", "rep", "label", "copies", "unit").mapInPandas(_pack, f"num long, rep long, label {kind}, copies long, vector binary, size long")
     trees = F.explode(F.sequence(F.lit(1), F.lit(TREES)))
     open_ = packed.withColumn("tree", trees).withColumn("node", F.xxhash64("label", "size", "tree").bitwiseAND(F.lit(2**62 - 1)))
     open_ = materialise(open_.drop("tree", "size"), "forest")
@@ -191,25 +202,25 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     while True:
         sizes = materialise(open_.groupBy("node").agg(F.count("*").alias("total")).where(F.col("total") > LEAF), "large")
         # Every large node, in equal parts of its rows by hash, so that no node is gathered whole.
-        taken = open_.join(sizes, "node").where(F.pmod(F.xxhash64("rep", "node"), F.lit(1_000_000)) < F.lit(1_000_000.0 * FITTED) / F.col("total"))
+        taken = open_.join(sizes, "node").where(F.pmod(F.xxhash64("num", "node"), F.lit(1_000_000)) < F.lit(1_000_000.0 * FITTED) / F.col("total"))
         cuts = taken.groupBy("node").applyInPandas(_fit(threshold), "node long, cuts binary, split boolean").where("split").drop("split")
         cuts = materialise(cuts, "cuts")
-        done = open_.join(cuts, "node", "left_anti").select("rep", "label", "copies", "vector", "node")
+        done = open_.join(cuts, "node", "left_anti").select("num", "rep", "label", "copies", "vector", "node")
         leaves = done if leaves is None else leaves.unionByName(done)
         if cuts.isEmpty():
             break
         open_ = materialise(open_.join(cuts, "node").mapInPandas(_route(threshold), schema), "forest")
-    held = leaves.groupBy("rep").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
+    held = leaves.groupBy("num").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
     blocks = leaves.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = leaves.join(blocks, "node").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).join(held, "rep")
+    dealt = leaves.join(blocks, "node").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int")).join(held, "num")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("rep", "copies", "vector", "node", "leaves", "block", other)
-    dealt = dealt.select("rep", "copies", "vector", "node", "leaves", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    found = dealt.groupBy("node", "low", "high").applyInPandas(_compare(threshold), "rep long, links long, peer long")
+    row = ["num", "rep", "copies", "vector", "node", "leaves", "block"]
+    dealt = dealt.select(*row, other).select(*row, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    found = dealt.groupBy("node", "low", "high").applyInPandas(_compare(threshold), "num long, rep long, links long, peer long")
     found = materialise(found, "found")
-    linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    linked = found.groupBy("num").agg(F.sum("links").alias("links"))
     groups = components(found.where("peer <> rep").select(F.col("rep").alias("a"), F.col("peer").alias("b"))).withColumnRenamed("node", "rep")
-    result = folded.select(*same, "rep", "copies").join(linked, "rep", "left").join(groups, "rep", "left")
+    result = folded.select(*same, "num", "rep", "copies").join(linked, "num", "left").join(groups, "rep", "left")
     result = result.select(*same, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     out = rows.select("vec_id", "ok", *same).join(result, same, "left")
     component = F.when(F.col("ok"), F.coalesce("component", "vec_id")).otherwise(F.col("vec_id"))
@@ -220,6 +231,6 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
 def _pack(frames):
     for frame in frames:
         units = [np.asarray(u, np.float64) for u in frame["unit"]]
-        out = frame[["rep", "label", "copies"]].copy()
+        out = frame[["num", "rep", "label", "copies"]].copy()
         out["vector"], out["size"] = [u.tobytes() for u in units], [len(u) for u in units]
         yield out

@@ -22,7 +22,8 @@ def brute(rows, threshold):
 
     for n, (i, v, x, a) in enumerate(ok):
         for j, w, y, b in ok[n + 1 :]:
-            if a == b and len(x) == len(y) and x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= threshold:
+            x1, y1 = x / np.abs(x).max(), y / np.abs(y).max()
+            if a == b and len(x) == len(y) and x1 @ y1 / np.sqrt(x1 @ x1) / np.sqrt(y1 @ y1) >= threshold:
                 links[i] += 1
                 links[j] += 1
                 p, q = root(v), root(w)
@@ -66,6 +67,29 @@ def test_forest_splits_and_blocks(spark, monkeypatch):
     assert all(got[v]["n_links"] <= n for v, (n, _) in want.items())
 
 
+def test_recall_of_the_production_forest(spark):
+    """One label far above the size of a leaf: a dense group near the threshold, lone pairs near it, single vectors."""
+    rng, d = np.random.default_rng(3), 64
+
+    def around(center, n, cosine):
+        return center / np.linalg.norm(center) + np.sqrt((1 / cosine - 1) / d) * rng.standard_normal((n, d))
+
+    alone = rng.standard_normal((600, d))
+    x = np.concatenate([around(rng.standard_normal(d), 900, 0.935), *(around(c, 2, 0.936) for c in alone[:300]), alone])
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.near_vectors(frame).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert all(got[i] <= n for i, n in enumerate(want)) and sum(got.values()) >= 0.99 * want.sum()
+    assert sum(got[i] for i in range(900, 1500)) >= 0.99 * want[900:1500].sum()
+
+
+def test_extreme_vectors_and_shared_ids(spark):
+    """Squares that overflow or vanish, and one vec_id with different vectors."""
+    rows = [(1, [1e300, 1e300], 1), (2, [1e-300, 1e-300], 1), (3, [1e300, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 1.0], 1), (4, [0.0, 1.0], 1), (5, [0.0, 3.0], 1)]
+    check(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 0.99)
+
+
 def rows_of(frame):
     return [r.asDict() for r in frame.collect()]
 
