@@ -17,10 +17,10 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write a frame below the shared checkpoint folder and read it back: cuts lineage, survives lost executors."""
     path = work_root(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -60,6 +60,21 @@ def text_groups(batch, column: str, size: int = 2_000_000):
         start, done = end, int(total[end - 1])
 
 
+_held: dict[tuple, object] = {}
+
+
+def worker_cache(key: tuple, make):
+    """What a worker process keeps from one task to the next: the thing of this key alone.
+
+    Workers outlive their stage, so a task of another kind drops it, as ``worker_cache(None, None)`` does.
+    """
+    if key not in _held:
+        _held.clear()
+        if key is not None:
+            _held[key] = make()
+    return _held.get(key)
+
+
 class Generations(dict):
     """A map that fills itself through ``find(keys)`` and holds at most two generations of ``limit`` entries."""
 

@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ledgerline.llm.common import id_remainder
+from ledgerline.llm.common import id_remainder, worker_cache
 
 #: Letter trigrams are hashed into so many cells; a language is a distribution over them.
 CELLS, SMOOTHING = 32_768, 0.5
 #: Rounds of expectation-maximisation with all languages, and after each one taken out.
 ROUNDS, MORE = 10, 4
 #: Price of a further language, in units of log(n-grams). Cells that are handled together.
-PENALTY, GROUP = 1.0, 4_000_000
+PENALTY, GROUP = 1.0, 500_000
 NO_LETTER = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 
@@ -105,6 +105,7 @@ def mixtures(found: list[np.ndarray], model: np.ndarray) -> tuple[np.ndarray, np
 
 def _predict(shared):
     def run(batches):
+        worker_cache(None, None)
         langs, model = shared.value
 
         def result(found: list) -> list[tuple[str, float]]:

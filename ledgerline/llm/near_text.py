@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, mix64, text_bytes, word_hashes
+from ledgerline.llm.common import materialise, mix64, text_bytes, word_hashes, worker_cache
 from ledgerline.llm.graph import components
 
 #: Two collections of SIDE sub-keys, each of ROWS minhashes: SIDE * SIDE tables from 2 * SIDE * ROWS minhashes.
@@ -69,6 +69,7 @@ def near_cells(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) ->
 
 def _sketch(width: int):
     def run(batches):
+        worker_cache(None, None)
         for batch in batches:
             sizes, a, b, keys, cells = [], [], [], [], []
             for text in batch.column("text").to_pylist():

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
 from struct import pack
 
 import pandas as pd
@@ -13,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Generations, materialise
+from ledgerline.llm.common import Generations, materialise, worker_cache
 from ledgerline.llm.tokens import LONGEST, WORDS, grouped, tokenizer
 
 #: A bin with at most this share of room left is emitted; one task of a later round packs about POOL bins.
@@ -81,9 +80,8 @@ def latin(text: str) -> str | None:
     return None if "<|" in text else text.lower()
 
 
-@lru_cache(maxsize=4)
 def _caches(path: str) -> tuple[Generations, Generations]:
-    return Generations(_ids(path), CACHED // 4), Generations(_piece_ids(path), CACHED)
+    return worker_cache(("ids", path), lambda: (Generations(_ids(path), CACHED // 4), Generations(_piece_ids(path), CACHED)))
 
 
 def encoded(texts: list[str], path: str) -> list[bytes]:

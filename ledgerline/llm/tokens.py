@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Generations
+from ledgerline.llm.common import Generations, worker_cache
 
 #: The characters with the Unicode property White_Space.
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -102,13 +102,10 @@ def frequent_pieces(docs: DataFrame) -> list[str]:
     return sorted(merged, key=lambda k: (-merged[k], k))[:FREQUENT]
 
 
-_cache: dict[str, Generations] = {}
-
-
 def _counter(path: str, shared):
     def run(batches):
         table = shared.value
-        cache = _cache.setdefault(path, Generations(lambda pieces: lengths(path, pieces), CACHED))
+        cache = worker_cache(("lengths", path), lambda: Generations(lambda pieces: lengths(path, pieces), CACHED))
         special = special_strings(path)
         for batch in batches:
             counts = []
