@@ -21,7 +21,9 @@ RARE = np.uint64(1 << 63)
 #: Weight of the unigram distribution in each context, in tokens.
 PRIOR = 100.0
 #: Tokens that a task handles together, and of a shard. Pairs at most that every worker holds.
-GROUP, SHARD, HOT, LEAST_HOT = 600_000, 500_000, 1_000_000, 16
+GROUP, SHARD, HOT, LEAST_HOT = 300_000, 250_000, 1_000_000, 16
+#: Numbers whose low bits are packed at once, a multiple of eight. Texts of a group at most, as their numbers have 16 bits.
+PACKED, TEXTS = 1 << 14, 65_535
 #: Probabilities are kept as 16-bit steps of log10.
 STEP = 16 / 65_535
 ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -36,8 +38,12 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) + 1 if n else 1
         low = max(0, min(24, (top // max(n, 1)).bit_length() - 1))
-        bits = ((values[:, None] >> np.arange(low)) & 1).astype(np.uint8).ravel() if low else np.zeros(0, np.uint8)
-        lows = np.packbits(bits, bitorder="little").tobytes() + b"\0" * 4
+        # Low bits are packed block by block: a number takes a byte for each of them meanwhile.
+        parts = []
+        for k in range(0, n if low else 0, PACKED):
+            bits = (values[k : k + PACKED, None] >> np.arange(low)).astype(np.uint8) & 1
+            parts.append(np.packbits(bits.ravel(), bitorder="little").tobytes())
+        lows = b"".join(parts) + b"\0" * 4
         size = (n + (top >> low) + 64) // 64 * 64
         flags = np.zeros(size, np.uint8)
         flags[(values >> low) + np.arange(n)] = 1
@@ -172,7 +178,7 @@ def _groups(batches):
             words = word_hashes(text)
             held.append((doc, out, words))
             size += len(words) + 1
-            if size >= GROUP:
+            if size >= GROUP or len(held) == TEXTS:
                 yield held
                 held, size = [], 0
     if held:
@@ -278,7 +284,7 @@ def _ask(shared, hot, shards: int, other_shards: int):
             cold, times = np.unique((pairs[cold].astype(np.uint64) << np.uint64(32)) | place[cold].astype(np.uint64), return_counts=True)
             cold, texts = (cold >> np.uint64(32)).astype(np.int64), cold.astype(np.uint32)
             for s, q, t, m in _by_shard(shard_of(cold, shards), cold, texts, times):
-                rows.append((1, s, q.astype("<u4").tobytes(), t.astype("<u4").tobytes(), m.astype("<u4").tobytes()))
+                rows.append((1, s, q.astype("<u4").tobytes(), t.astype("<u2").tobytes(), m.astype("<u4").tobytes()))
             hashes = np.zeros(len(ids), np.uint64)
             hashes[ids != END] = np.concatenate([g[2] for g in group])
             at = np.flatnonzero(rare)
@@ -291,7 +297,7 @@ def _ask(shared, hot, shards: int, other_shards: int):
                 times = np.diff(np.concatenate([first, [len(words)]]))
                 words, left, right = words[first], left[first], right[first]
                 for s, w, t, m in _by_shard(shard_of(words, other_shards), np.stack([words, left], axis=1), right >> 16, np.stack([times, right & 0xFFFF], axis=1)):
-                    rows.append((2, s, w.astype("<u8").tobytes(), t.astype("<u4").tobytes(), m.astype("<u4").tobytes()))
+                    rows.append((2, s, w.astype("<u8").tobytes(), t.astype("<u2").tobytes(), m.astype("<u4").tobytes()))
             for i in range(0, len(rows), 256):
                 part = rows[i : i + 256]
                 size = len(part)
@@ -321,10 +327,10 @@ def _answers(parts, texts, known, base, score) -> pd.DataFrame:
 
 def _spread(frame: pd.DataFrame, kind: str):
     """The arrays of all query rows of a shard; parts as positions in the list of parts."""
-    sizes = np.array([len(x) // 4 for x in frame["b"]])
+    sizes = np.array([len(x) // 2 for x in frame["b"]])
     names, number = np.unique(frame["part"].to_numpy(), return_inverse=True)
     trained = np.repeat(frame["trained"].to_numpy(), sizes)
-    texts = _numbers(frame["b"], "<u4").astype(np.int64)
+    texts = _numbers(frame["b"], "<u2").astype(np.int64)
     return names, np.repeat(number, sizes), _numbers(frame["a"], kind), texts, _numbers(frame["c"], "<u4").astype(np.float64), texts < trained
 
 
@@ -455,7 +461,7 @@ def score_texts(docs: DataFrame, modulus: int = 7, out: int = 2) -> DataFrame:
     order = np.argsort(hot_pairs)
     hot = spark.sparkContext.broadcast((hot_pairs[order], hot_steps[order] * -STEP))
 
-    asked = materialise(rows.mapInArrow(_ask(shared, hot, shards, other_shards), QUERIES), "queries")
+    asked = materialise(rows.mapInArrow(_ask(shared, hot, shards, other_shards), QUERIES), "queries", "zstd")
     one = asked.where("kind = 1").groupBy("shard").cogroup(tries.select("shard", "trie").groupBy("shard")).applyInPandas(_answer_pairs(shared), ANSWERS)
     two = asked.where("kind = 2").groupBy("shard").applyInPandas(_answer_words(shared), ANSWERS)
     texts = asked.where("kind = 0").select("part", "a", "b", "c")
