@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import id_remainder
+from ledgerline.llm.common import id_remainder, materialise
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BROKEN = re.compile(r"(?<=[^\W\d_])[\d@$*!|+#%&]+(?=[^\W\d_])")
@@ -20,8 +21,8 @@ SECOND_PERSON = frozenset(
     "you your yours yourself yourselves u ur du dich dir dein deine deiner deinen ihr euch euer eure "
     "tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros vosotras tus".split()
 )
-#: Prefixes of these lengths are terms beside whole words. Terms kept at most, and the least evidence for one.
-PREFIXES, LEXICON, LEAST_DOCS, LEAST_EVIDENCE, LEAST_LIFT = (4, 5, 6), 20_000, 3, 12.0, 6.0
+#: Prefixes of these lengths are terms beside whole words. The least evidence for a term: a rule, not a number of terms.
+PREFIXES, LEAST_DOCS, LEAST_EVIDENCE, LEAST_LIFT = (4, 5, 6), 3, 12.0, 6.0
 #: Labelled rows that trees and calibration are fitted on at most, by a hash of the id; every fourth calibrates.
 FITTED = 40_000
 TREES, DEPTH, RATE, BINS, RIDGE = 80, 3, 0.15, 32, 1.0
@@ -62,19 +63,26 @@ def _count_terms(batches):
 
 
 def lexicon(rows: DataFrame) -> dict[str, float]:
-    """Terms that mark toxic rows of ``rows`` (text, toxic), with their log odds, from all those rows."""
+    """Terms that mark toxic rows of ``rows`` (text, toxic), with their log odds, from all those rows.
+
+    The evidence asked for rises with the number of terms that are frequent enough to be tested, so that fewer than one
+    of them is expected to pass by chance, however many there are: the lexicon grows with the words that do mark toxic
+    texts, not with the corpus.
+    """
     total = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     n, t = total["n"], total["t"] or 0
     if not 0 < t < n:
         return {}
     counts = rows.select("text", "toxic").mapInArrow(_count_terms, "term string, docs long, toxic long")
     counts = counts.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= LEAST_DOCS)
+    counts = materialise(counts, "terms")
+    least = max(LEAST_EVIDENCE, 2 * math.log(max(1, counts.count())))
     expected = F.col("docs") * F.lit(t / n)
     clean = F.col("docs") - F.col("toxic")
     evidence = 2 * (F.col("toxic") * F.log(F.col("toxic") / expected) + F.when(clean > 0, clean * F.log(clean / (F.col("docs") - expected))).otherwise(0.0))
     lift = (F.col("toxic") + 0.5) / (t + 1) / ((clean + 0.5) / (n - t + 1))
-    kept = counts.withColumn("evidence", evidence).withColumn("weight", F.log(lift)).where((F.col("evidence") >= LEAST_EVIDENCE) & (lift >= LEAST_LIFT))
-    return {r["term"]: r["weight"] for r in kept.orderBy(F.desc("evidence"), "term").limit(LEXICON).collect()}
+    kept = counts.withColumn("evidence", evidence).withColumn("weight", F.log(lift)).where((F.col("evidence") >= least) & (lift >= LEAST_LIFT))
+    return {r["term"]: r["weight"] for r in kept.select("term", "weight").toLocalIterator()}
 
 
 def features(text: str, weights: dict[str, float]) -> list[float]:
