@@ -73,18 +73,21 @@ def _route(threshold: float):
                 cuts = np.frombuffer(rows["cuts"].iloc[0], np.float64)
                 x = _matrix(rows["vector"])
                 margin, directions = _margin(threshold, x.shape[1]), _directions(int(node), x.shape[1], len(cuts))
-                todo = [(0, np.arange(len(x)))]
+                todo, found, leaves = [(0, np.arange(len(x)))], [], []
                 while todo:
                     k, at = todo.pop()
                     if not len(at):
                         continue
                     if k >= len(cuts) or np.isnan(cuts[k]):
-                        leaf = rows.iloc[at][["num", "rep", "label", "copies", "vector"]].copy()
-                        leaf["node"] = int(np.random.default_rng([int(node) & (2**63 - 1), k + 1]).integers(1, 2**62))
-                        parts.append(leaf)
+                        found.append(at)
+                        leaves.append(np.full(len(at), np.random.default_rng([int(node) & (2**63 - 1), k + 1]).integers(1, 2**62)))
                         continue
                     p = x[at] @ directions[k]
                     todo += [(2 * k + 1, at[p <= cuts[k] + margin]), (2 * k + 2, at[p >= cuts[k] - margin])]
+                # Rows are copied once for all leaves of the node.
+                out = rows.iloc[np.concatenate(found)][["num", "rep", "label", "copies", "vector"]].copy()
+                out["node"] = np.concatenate(leaves)
+                parts.append(out)
             if parts:
                 yield pd.concat(parts)
 
