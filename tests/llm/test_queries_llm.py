@@ -20,7 +20,7 @@ def test_query(spark, name):
 
 
 def test_names():
-    assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in QUERIES) != 1] == []
+    assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in QUERIES) != 1] == []
     assert {*QUERIES, "pipeline"} <= set(e.queries()) and set(ORACLE) <= set(e.oracle_sql())
 
 
