@@ -12,6 +12,7 @@ from ledgerline.operators.joins import asof_join, broadcast_if_small, lookup_lat
 from ledgerline.operators.merge import change_feed, dedup_latest, upsert
 from ledgerline.operators.ordered import exact_percentile, ordered_functions
 from ledgerline.operators.similarity import topk_cosine
+from ledgerline.operators.vector_index import build_index, search_index
 from ledgerline.plans.monitoring import experiment_ranking
 
 # --- projections, aggregates, sorts ---------------------------------------------------------
@@ -394,6 +395,18 @@ def _(i: Inputs) -> DataFrame:
     return out.withColumn("score", F.round("score", 5))
 
 
+@query("topk_index", """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, ROUND(list_cosine_similarity(a.e, b.e), 9) AS s FROM v a, v b WHERE a.vec_id % 100 = 0)
+SELECT CAST(query_id AS BIGINT) AS query_id, CAST(vec_id AS BIGINT) AS vec_id, ROUND(s, 5) AS score, ROW_NUMBER() OVER w AS rank
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY s DESC, vec_id) QUALIFY rank <= 10""")
+def _(i: Inputs) -> DataFrame:
+    e = i.table("embeddings")
+    index = build_index(e, i.folder("cells"), id="vec_id", keep=("label",))
+    asked = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return search_index(index, asked, 10, query_id="query_id").withColumn("score", F.round("score", 5))
+
+
 @query("vector_sync", """
 WITH old AS (SELECT vec_id, CASE WHEN label = 0 THEN -1 ELSE label END AS label FROM embeddings WHERE label < 8),
 f AS (SELECT CASE WHEN o.vec_id IS NULL THEN 'insert' WHEN e.vec_id IS NULL THEN 'delete' ELSE 'update' END AS change, e.label

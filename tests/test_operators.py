@@ -17,6 +17,7 @@ from ledgerline.operators.layout import cluster_rewrite, zorder_rewrite
 from ledgerline.operators.merge import apply_changes, change_feed, dedup_latest, insert_missing, upsert
 from ledgerline.operators.ordered import exact_percentile, ordered_functions
 from ledgerline.operators.quality import expect, run_checks, duplicates, failing
+from ledgerline.operators import vector_index
 from ledgerline.operators.similarity import topk_cosine
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -211,6 +212,50 @@ def test_topk_cosine_both_ways(spark, block):
     assert sorted((r.qid, r.vec_id, r.rank) for r in got.collect()) == brute(q, b, 4)
 
 
+def clustered(seed, count, size=8):
+    g = np.random.default_rng(seed)
+    centre = g.normal(size=(12, size))
+    return [(i, [float(x) for x in centre[i % 12] + 0.3 * g.normal(size=size)], i % 3) for i in range(count)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"PART_ROWS": 40, "QUERY_BLOCK": 4}])
+def test_index_search_equals_all_pairs(spark, folder, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(vector_index, name, value)
+    b = clustered(1, 900) + [(2_000 + j, [1.0] * 8, 0) for j in range(30)]  # equal vectors: ties by id
+    odd = [(5_000, None, 0), (5_001, [0.0] * 8, 0), (5_002, [None] + [1.0] * 7, 0), (5_003, [float("nan")] * 8, 0)]
+    base = spark.createDataFrame(b + odd, "vec_id long, embedding array<double>, label int").repartition(4)
+    q = [(i, v) for i, v, _ in clustered(2, 40)] + [(99, [2.0] * 8)]
+    ask = spark.createDataFrame(q + [(77, None), (78, [0.0] * 8)], "qid long, embedding array<double>")
+    index = vector_index.build_index(base, folder, id="vec_id", keep=("label",))
+    assert index.rows.count() == len(b)
+    for probes in (1, 4):
+        got = vector_index.search_index(index, ask, 7, query_id="qid", probes=probes).collect()
+        scored = sorted((r.qid, r.rank, r.score) for r in got)
+        assert len(got) == 7 * len(q)
+        m = np.array([v for _, v, _ in b])
+        for qid, v in q:
+            all_ = np.round(m @ np.array(v) / np.linalg.norm(m, axis=1) / np.linalg.norm(v), 9)
+            order = np.lexsort(([i for i, _, _ in b], -all_))[:7]
+            mine = sorted((r.rank, r.vec_id) for r in got if r.qid == qid)
+            assert [x for _, x in mine] == [b[o][0] for o in order]
+        assert scored == sorted(scored)
+    only = vector_index.search_index(index, ask, 7, query_id="qid", condition=F.col("label") == 2).collect()
+    kept = {i for i, _, label in b if label == 2}
+    assert len(only) == 7 * len(q) and {r.vec_id for r in only} <= kept
+
+
+def test_index_skips_cells_and_takes_an_empty_base(spark, folder):
+    base = spark.createDataFrame([(i, v, l) for i, v, l in clustered(1, 2_000)], "vec_id long, embedding array<double>, label int")
+    index = vector_index.build_index(base, folder, id="vec_id")
+    ask = base.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    vector_index.search_index(index, ask, 3, query_id="qid").count()
+    met = spark.read.parquet(f"{folder}/search-*/first", f"{folder}/search-*/second").count()
+    assert met < 20 * len(index.centres) / 2
+    none = vector_index.build_index(base.limit(0), f"{folder}/none", id="vec_id")
+    assert vector_index.search_index(none, ask, 3, query_id="qid").collect() == []
+
+
 def test_quality_rules(spark):
     df = spark.createDataFrame([(1, 5), (1, -1), (None, 0)], "id int, q int")
     log = {r.check_name: (r.total_records, r.failed_records, r.status) for r in
