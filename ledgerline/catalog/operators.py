@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.catalog.registry import DATE, D, TS, Inputs, query
@@ -12,6 +12,7 @@ from ledgerline.operators.joins import asof_join, broadcast_if_small, lookup_lat
 from ledgerline.operators.merge import change_feed, dedup_latest, upsert
 from ledgerline.operators.ordered import exact_percentile, ordered_functions
 from ledgerline.operators.similarity import topk_cosine
+from ledgerline.operators.summaries import STEP, DayStates
 from ledgerline.operators.vector_index import build_index, search_index
 from ledgerline.plans.monitoring import experiment_ranking
 
@@ -166,6 +167,43 @@ def _(i: Inputs) -> DataFrame:
     return a.select("event_type", "exact_users", (F.abs(F.col("a") - F.col("exact_users")) <= F.col("exact_users") * 0.15).alias("within_bound"))
 
 
+def _event_states(i: Inputs) -> DayStates:
+    """States made in two steps: the events of the first half of the time, then the days that the others touch."""
+    e = i.table("events").withColumn("day", F.to_date("ts"))
+    lo, hi = e.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    first = F.unix_micros(F.col("ts").cast("timestamp")) < F.lit(((lo or 0) + (hi or 0)) // 2)
+    states = DayStates(i.spark, i.folder("states"), "day", ("event_type",), "user_id", "value")
+    states.refresh(e.where(first))
+    states.refresh(e, e.where(~first).select("day"))
+    return states
+
+
+def _week() -> Column:
+    return F.date_trunc("week", "day").cast("date").alias("week")
+
+
+@query("period_quantiles", f"""
+WITH p AS (SELECT event_type, date_trunc('week', ts) AS week, UNNEST([0.5, 0.95]) AS share, value FROM events),
+q AS (SELECT event_type, week, share, COUNT(value) AS n, CASE WHEN share = 0.5 THEN quantile_disc(value, 0.5) ELSE quantile_disc(value, 0.95) END AS x
+      FROM p GROUP BY 1, 2, 3)
+SELECT event_type, {DATE("week")} AS week, CAST(share AS DOUBLE) AS share, n,
+       ROUND(CASE WHEN x = 0 THEN 0 ELSE 2 / (1 + {STEP!r}) * POW({STEP!r}, CEIL(LN(x) / LN({STEP!r}))) END, 4) AS value FROM q""")
+def _(i: Inputs) -> DataFrame:
+    out = _event_states(i).quantiles([F.col("event_type"), _week()], [0.5, 0.95])
+    return out.withColumn("value", F.round("value", 4))
+
+
+@query("period_users", f"""
+SELECT event_type, {DATE("date_trunc('week', ts)")} AS week, COUNT(DISTINCT user_id) AS exact_users, TRUE AS within_bound FROM events GROUP BY 1, 2""")
+def _(i: Inputs) -> DataFrame:
+    """The united states of a week beside the exact count: at most three standard errors apart."""
+    united = _event_states(i).distinct([F.col("event_type"), _week()])
+    e = i.table("events").withColumn("day", F.to_date("ts"))
+    exact = e.groupBy("event_type", _week()).agg(F.count_distinct("user_id").alias("exact_users"))
+    near = F.abs(F.col("values") - F.col("exact_users")) <= F.greatest(F.lit(1.0), F.col("exact_users") * 0.025)
+    return exact.join(united, ["event_type", "week"], "left").select("event_type", "week", "exact_users", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
 # --- joins ----------------------------------------------------------------------------------
 
 

@@ -19,6 +19,7 @@ from ledgerline.operators.ordered import exact_percentile, ordered_functions
 from ledgerline.operators.quality import expect, run_checks, duplicates, failing
 from ledgerline.operators import vector_index
 from ledgerline.operators.similarity import topk_cosine
+from ledgerline.operators.summaries import ERROR, DayStates
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 T0 = dt.datetime(2024, 1, 1)
@@ -256,6 +257,45 @@ def test_index_skips_cells_and_takes_an_empty_base(spark, folder):
     assert vector_index.search_index(none, ask, 3, query_id="qid").collect() == []
 
 
+def test_day_states_unite_and_follow_changes(spark, folder):
+    g = np.random.default_rng(3)
+    rows = [(f"2024-01-0{1 + j % 4}", "ab"[j % 2], int(g.integers(0, 500)), float(x)) for j, x in enumerate(g.lognormal(3, 2, 1_500))]
+    rows += [("2024-01-01", "a", 1, x) for x in (0.0, -5.0, -0.001, 1e300, 1e-300, float("nan"), float("inf"), None)] + [(None, "a", 9, 1.0), ("2024-01-02", None, None, 3.0)]
+    kind = "day string, k string, who int, x double"
+    s = DayStates(spark, folder, "day", ("k",), "who", "x")
+
+    def check(now, admitted):
+        got = {(r.k, r.share): (r.value, r.n) for r in s.quantiles([F.col("k")], [0.0, 0.5, 0.95, 1.0], F.col("day").isin(admitted)).collect()}
+        want = {}
+        for k in {r[1] for r in now if r[0] in admitted}:
+            x = sorted(r[3] for r in now if r[0] in admitted and r[1] == k and r[3] is not None and np.isfinite(r[3]))
+            want |= {(k, p): (x[max(int(np.ceil(p * len(x))), 1) - 1], len(x)) for p in (0.0, 0.5, 0.95, 1.0)}
+        assert got.keys() == want.keys()
+        for key, (value, n) in want.items():
+            assert got[key][1] == n and abs(got[key][0] - value) <= ERROR * 1.0001 * abs(value)
+        seen = {r.k: r["values"] for r in s.distinct([F.col("k")], F.col("day").isin(admitted)).collect()}
+        for k, n in seen.items():
+            exact = len({r[2] for r in now if r[0] in admitted and r[1] == k and r[2] is not None})
+            assert abs(n - exact) <= max(1, 0.025 * exact)
+
+    days = sorted({r[0] for r in rows if r[0]})
+    s.refresh(spark.createDataFrame(rows, kind))
+    check(rows, days)
+    check(rows, days[1:3])
+    # One day grows, one loses all its rows.
+    later = [r for r in rows if r[0] != "2024-01-03"] + [("2024-01-04", "b", 7_000 + j, 50.0) for j in range(300)]
+    s.refresh(spark.createDataFrame(later, kind), spark.createDataFrame([("2024-01-03",), ("2024-01-04",), (None,)], "d string"))
+    check(later, days)
+
+
+def test_day_states_of_an_empty_fact(spark, folder):
+    s = DayStates(spark, folder, "day", ("k",), "who", "x")
+    none = spark.createDataFrame([("2024-01-01", "a", 1, 2.0)], "day string, k string, who int, x double")
+    s.refresh(none)
+    s.refresh(none.limit(0), none.select("day"))
+    assert s.quantiles([F.col("k")], [0.5]).collect() == [] and s.distinct([F.col("k")]).collect() == []
+
+
 def test_quality_rules(spark):
     df = spark.createDataFrame([(1, 5), (1, -1), (None, 0)], "id int, q int")
     log = {r.check_name: (r.total_records, r.failed_records, r.status) for r in
