@@ -12,6 +12,7 @@ from ledgerline.operators.joins import asof_join, broadcast_if_small, lookup_lat
 from ledgerline.operators.merge import change_feed, dedup_latest, upsert
 from ledgerline.operators.ordered import exact_percentile, ordered_functions
 from ledgerline.operators.similarity import topk_cosine
+from ledgerline.operators.splits import split_asof, split_windows
 from ledgerline.operators.summaries import STEP, DayStates
 from ledgerline.operators.vector_index import build_index, search_index
 from ledgerline.plans.monitoring import experiment_ranking
@@ -160,6 +161,43 @@ def _(i: Inputs) -> DataFrame:
     return out.withColumn("median_price", F.round("median_price", 4))
 
 
+@query("skewed_windows", """
+WITH l AS (SELECT CASE WHEN l_quantity >= 2 THEN 'usual' ELSE 'single' END AS size_class, l_quantity, l_orderkey, l_linenumber,
+             l_partkey, l_suppkey, l_extendedprice, CAST(l_extendedprice AS DECIMAL(18,2)) AS price FROM lineitem)
+SELECT size_class, l_orderkey, l_linenumber, ROW_NUMBER() OVER w AS row_num,
+       RANK() OVER (PARTITION BY size_class ORDER BY l_quantity) AS rank_val,
+       DENSE_RANK() OVER (PARTITION BY size_class ORDER BY l_quantity) AS dense_rank_val,
+       CAST(SUM(price) OVER (PARTITION BY size_class ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey, price
+                             ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
+       CAST(LAG(price) OVER w AS DOUBLE) AS prev_value, CAST(LEAD(price) OVER w AS DOUBLE) AS next_value
+FROM l WINDOW w AS (PARTITION BY size_class ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey, price)""")
+def _(i: Inputs) -> DataFrame:
+    """Nearly all lines are in one class, and a quantity is shared by many: the ranges are cut by the data."""
+    ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price"]
+    li = i.table("lineitem").withColumns({
+        "size_class": F.when(F.col("l_quantity") >= 2, "usual").otherwise("single"),
+        "price": F.col("l_extendedprice").cast("decimal(18,2)"),
+    })
+    out = split_windows(li.select("size_class", "l_quantity", *ties), ["size_class"], "l_quantity", ties, i.folder("splits"),
+                        running="price", neighbours="price")
+    return out.select("size_class", "l_orderkey", "l_linenumber", "row_num", "rank_val", "dense_rank_val", "running_total",
+                      "prev_value", "next_value")
+
+
+@query("skewed_asof", f"""
+WITH e AS (SELECT *, CASE WHEN event_id % 50 = 0 THEN 'rare' ELSE 'common' END AS stream FROM events),
+p AS (SELECT stream, ts, MAX(value) AS value FROM e WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT e.event_id, e.stream, p.value AS last_purchase, strftime(p.ts, '%Y-%m-%d %H:%M:%S.%f') AS purchased_at
+FROM e ASOF LEFT JOIN p ON e.stream = p.stream AND e.ts >= p.ts WHERE e.event_type <> 'purchase'""")
+def _(i: Inputs) -> DataFrame:
+    """The latest purchase at each other event, where one stream holds nearly all events."""
+    e = i.table("events").withColumn("stream", F.when(F.col("event_id") % 50 == 0, "rare").otherwise("common"))
+    bought = e.where("event_type = 'purchase'").select("stream", "ts", F.col("value").alias("last_purchase"))
+    others = e.where("event_type <> 'purchase'").select("event_id", "stream", F.col("ts").alias("at"))
+    out = split_asof(others, bought, ["stream"], "at", "ts", ["last_purchase"], i.folder("splits"))
+    return out.select("event_id", "stream", "last_purchase", F.col("ts_matched").alias("purchased_at"))
+
+
 @query("approx_users", "SELECT event_type, COUNT(DISTINCT user_id) AS exact_users, TRUE AS within_bound FROM events GROUP BY 1")
 def _(i: Inputs) -> DataFrame:
     a = i.table("events").groupBy("event_type").agg(
