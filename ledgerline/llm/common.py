@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +79,30 @@ def worker_cache(key: tuple, make):
     return _held.get(key)
 
 
+def give_back() -> None:
+    """Return what Arrow and the C library hold free to the system, where the platform can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def frugal(work):
+    """``work`` (batches to batches) that gives freed memory back at the end of its partition.
+
+    Spark keeps idle workers for a minute; without this they hold their largest size beside those of the next stage.
+    """
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 class Generations(dict):
     """A map that fills itself through ``find(keys)`` and holds at most two generations of ``limit`` entries."""
 

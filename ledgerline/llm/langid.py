@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ledgerline.llm.common import id_remainder, worker_cache
+from ledgerline.llm.common import frugal, id_remainder, worker_cache
 
 #: Letter trigrams are hashed into so many cells; a language is a distribution over them.
 CELLS, SMOOTHING = 32_768, 0.5
@@ -48,7 +48,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
     What reaches the driver is one count for each language and cell.
     """
-    rows = docs.select("lang", "text").mapInArrow(_count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("lang", "text").mapInArrow(frugal(_count), "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(rows["lang"].unique())
     counts = np.zeros((len(langs), CELLS))
     for i, lang in enumerate(langs):
@@ -142,7 +142,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     named = named.withColumn("text", F.coalesce(F.col(f"c{docs.columns.index('text')}"), F.lit("")))
     fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
     schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return named.mapInArrow(_predict(shared), schema)
+    return named.mapInArrow(frugal(_predict(shared)), schema)
 
 
 def _learned(docs: DataFrame, held_out) -> tuple[list[str], np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerline.llm.common import materialise
+from ledgerline.llm.common import frugal, materialise
 
 #: Words of a line that alone brings two documents together, and of an aligned block that is deleted.
 ANCHOR_WORDS, BLOCK_WORDS = 3, 25
@@ -207,15 +207,15 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """
     key = F.xxhash64("text").alias("own")
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), key)
-    rows = materialise(rows.mapInArrow(_lines, "doc_id long, own long, lines binary, words binary"), "lines")
-    anchors = rows.select("doc_id", "lines", "words").mapInArrow(_anchors(least), "line long, doc_id long")
+    rows = materialise(rows.mapInArrow(frugal(_lines), "doc_id long, own long, lines binary, words binary"), "lines")
+    anchors = rows.select("doc_id", "lines", "words").mapInArrow(frugal(_anchors(least)), "line long, doc_id long")
     firsts = anchors.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("line", "first")
     # Written, so that the join deals both sides itself and can split a frequent line.
     firsts = materialise(firsts, "firsts")
     pairs = anchors.join(firsts, "line").where("doc_id > first").select("first", "doc_id").distinct()
     first = rows.select(F.col("doc_id").alias("first"), F.col("lines").alias("first_lines"))
     met = pairs.join(rows, "doc_id").join(first, "first").select("doc_id", "own", "lines", "words", "first_lines")
-    cuts = met.mapInArrow(_align(least), "doc_id long, own long, cut binary").groupBy("doc_id", "own").agg(F.collect_list("cut").alias("cuts"))
+    cuts = met.mapInArrow(frugal(_align(least)), "doc_id long, own long, cut binary").groupBy("doc_id", "own").agg(F.collect_list("cut").alias("cuts"))
     cuts = materialise(cuts, "cuts")
     carried = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     doc, text = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
@@ -224,4 +224,4 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     joined = carried.join(cuts.hint("merge"), ["doc_id", "own"], "left").select(*[f"c{i}" for i in range(len(docs.columns))], "cuts")
     fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
     counts = [StructField(f"c{len(fields) + i}", LongType()) for i in range(3)]
-    return joined.mapInArrow(_delete(docs.columns), StructType(fields + counts)).toDF(*docs.columns, "n_lines", "lines_cut", "words_cut")
+    return joined.mapInArrow(frugal(_delete(docs.columns)), StructType(fields + counts)).toDF(*docs.columns, "n_lines", "lines_cut", "words_cut")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ledgerline.llm.common import materialise
+from ledgerline.llm.common import frugal, materialise
 
 #: Words of a block, blocks of an output shard, rows of one step of a running sum.
 BLOCK, SHARD, STEP = 256, 4_096, 256
@@ -222,7 +222,7 @@ def mix(docs: DataFrame, carry: list[str], weights: tuple[float, ...] = (3, 1, 2
     slim = running_start(slim, "source_no", ["doc_id", "text_hash", "row"], "size")
     own = slim.select("row", "source_no", "start", "size", F.explode(F.sequence((F.col("start") / block).cast("long"), ((F.col("start") + F.col("size") - 1) / block).cast("long"))).alias("block"))
     shards = -(-sum(plan.slots) // SHARD)
-    slots = spark.range(shards).repartition(max(1, min(shards, 10_000))).mapInPandas(_slots(plan, shards), ", ".join(f"{c} long" for c in SLOT))
+    slots = spark.range(shards).repartition(max(1, min(shards, 10_000))).mapInPandas(frugal(_slots(plan, shards)), ", ".join(f"{c} long" for c in SLOT))
     # Slots grow with the words; Spark would take them for as small as the range they come from and broadcast them.
     met = own.join(slots.hint("merge"), ["source_no", "block"])
     low = F.greatest(F.lit(0).cast("long"), F.col("block") * block - F.col("start"))
@@ -272,4 +272,4 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     names = docs.columns
     taken = rows.join(parts, "row").select(*[F.col("doc").getField(c).alias(f"c{i}") for i, c in enumerate(names)], "size", "ranges")
     fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
-    return taken.mapInArrow(_cut(names), StructType(fields)).toDF(*names)
+    return taken.mapInArrow(frugal(_cut(names)), StructType(fields)).toDF(*names)

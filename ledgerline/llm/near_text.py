@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, mix64, text_bytes, word_hashes, worker_cache
+from ledgerline.llm.common import frugal, materialise, mix64, text_bytes, word_hashes, worker_cache
 from ledgerline.llm.graph import components
 
 #: Two collections of SIDE sub-keys, each of ROWS minhashes: SIDE * SIDE tables from 2 * SIDE * ROWS minhashes.
@@ -182,11 +182,11 @@ def _verify(percent: int):
 def _links(near: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of representatives that are similar enough on their full sets."""
     needed = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, found binary")
+    sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(frugal(_sets(width)), "doc_id long, found binary")
     sets = materialise(sets, "sets")
     full = near.join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("x")), "a")
     full = full.join(sets.select(F.col("doc_id").alias("b"), F.col("found").alias("y")), "b")
-    return materialise(full.mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
+    return materialise(full.mapInArrow(frugal(_verify(percent)), "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -204,12 +204,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     doc_id count as one document in links. A NULL doc_id stands alone. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    sketch = docs.mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_a long, set_b long, sub_keys binary, cells binary")
+    sketch = docs.mapInArrow(frugal(_sketch(width)), "doc_id long, n_shingles long, set_a long, set_b long, sub_keys binary, cells binary")
     sketch = materialise(sketch, "sketch")
     same = ["set_a", "set_b", "n_shingles"]
     reps = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same)
     reps = materialise(reps.agg(F.min("doc_id").alias("rep"), F.first("sub_keys").alias("sub_keys"), F.first("cells").alias("cells")), "reps")
-    rows = reps.select("rep", "sub_keys").mapInArrow(_tables, "key long, place int, rep long")
+    rows = reps.select("rep", "sub_keys").mapInArrow(frugal(_tables), "key long, place int, rep long")
     met = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     rows = materialise(rows.join(met, "key"), "tables")
 
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     size = "100 * least(n, m) >= {} * greatest(n, m)".format(percent)
     a = reps.select(F.col("rep").alias("a"), F.col("cells").alias("x"), F.col("n_shingles").alias("n"))
     b = reps.select(F.col("rep").alias("b"), F.col("cells").alias("y"), F.col("n_shingles").alias("m"))
-    near = pairs.join(a, "a").join(b, "b").where(size).select("a", "b", "x", "y", (F.col("n") + F.col("m")).alias("sizes")).mapInArrow(_alike(percent), "a long, b long")
+    near = pairs.join(a, "a").join(b, "b").where(size).select("a", "b", "x", "y", (F.col("n") + F.col("m")).alias("sizes")).mapInArrow(frugal(_alike(percent)), "a long, b long")
     near = materialise(near, "near")
     first = _links(near, docs, width, percent)
     known = components(first).withColumnRenamed("node", "rep")
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = named.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     named = named.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "blocks")
     sorted_ = named.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    apart = materialise(sorted_.mapInArrow(_apart(percent), "a long, b long"), "apart").join(near, ["a", "b"], "left_anti")
+    apart = materialise(sorted_.mapInArrow(frugal(_apart(percent)), "a long, b long"), "apart").join(near, ["a", "b"], "left_anti")
     apart = materialise(apart, "near")
     second = _links(apart, docs, width, percent)
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Generations, materialise, worker_cache
+from ledgerline.llm.common import Generations, frugal, materialise, worker_cache
 from ledgerline.llm.tokens import LONGEST, WORDS, grouped, tokenizer
 
 #: A bin with at most this share of room left is emitted; one task of a later round packs about POOL bins.
@@ -149,7 +149,7 @@ def best_fit(docs: DataFrame, path: str, capacity: int = 2048, separator: int =
     reach across blanks: texts in Latin-1 are split into its pieces here, other texts at blanks.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    pieces = materialise(docs.mapInArrow(_local(path, capacity, separator), PIECES), "pieces")
+    pieces = materialise(docs.mapInArrow(frugal(_local(path, capacity, separator)), PIECES), "pieces")
     bins = pieces.groupBy("bin").agg(F.sum("length").alias("fill"))
     room = F.lit(capacity) - F.col("fill") > int(NEARLY_FULL * capacity)
     placed = materialise(bins.select("bin", F.col("bin").alias("sequence_id"), F.lit(0).cast("long").alias("shift"), "fill"), "bins")
