@@ -12,14 +12,14 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.operators.merge import dedup_latest
 from ledgerline.operators.quality import duplicates, failing, run_checks
 from ledgerline.plans import anomalies, dims, facts, gold
 from ledgerline.plans.monitoring import run_steps
-from ledgerline.sources.files import with_lineage
+from ledgerline.sources.files import LINEAGE, with_lineage
 from ledgerline.sources.keyindex import KeyIndex
 from ledgerline.sources.tables import Lake, delete_path, move_partitions, only_partitions, path_exists, replace_partitions, upsert_partitions
 from ledgerline.sources.watermarks import FIRST, advance_watermark, full_scan, incremental_scan, read_watermark
@@ -90,6 +90,8 @@ def workspace_activity(workspace: DataFrame, usage: DataFrame) -> DataFrame:
 
 USAGE, AUDIT = "bronze_billing_usage", "bronze_audit_events"
 STEPS = ("usage", "prices", "audit", "dimensions", "cost", "audit_fact", "rollups", "checks", "anomalies", "gold")
+#: Identities that are told apart as repeated by a list sent to all tasks, and the share of rows above which that is not tried.
+FEW_REPEATED, REPEATED_SHARE = 100_000, 0.05
 #: Steps that work on the partitions of the work list.
 LISTED = ("cost", "audit_fact", "rollups", "checks", "anomalies", "gold")
 
@@ -144,15 +146,23 @@ class DailyBatch:
         staged = f"{self.lake.root}/staging/{table}-{self.batch}"
         with_lineage(new, table, self.batch, self.now).write.parquet(staged)
         batch = self.spark.read.parquet(staged)
-        seen = batch.agg(F.count(F.lit(1)).alias("n"), F.max(column).cast("string").alias("top")).first()
+        identity = [key] if self.moves else [key, date]
+        seen = batch.agg(
+            F.count(F.lit(1)).alias("n"), F.max(column).cast("string").alias("top"),
+            F.approx_count_distinct(F.xxhash64(*identity), 0.01).alias("identities"),
+        ).first()
         self.read[table] = seen.n
         if not seen.n:
             return {"read": 0, "inserted": 0, "updated": 0}
-        identity = [key] if self.moves else [key, date]
         # The latest arrival first, where the source says when that was.
         arrival = [F.desc(c) for c in ("ingestion_date",) if self.moves and c in batch.columns]
-        order = [*arrival, F.desc(column), *[F.desc(c) for c, k in batch.dtypes if not k.startswith("map")]]
-        one = self._part(dedup_latest(batch, identity, order), date)
+        bare = batch.drop(*LINEAGE)
+        order = [*arrival, F.desc(column), *[F.desc(c) for c, k in bare.dtypes if not k.startswith("map")]]
+        latest = self._latest(bare, identity, order, table, seen.n - seen.identities > REPEATED_SHARE * seen.n)
+        # Written too: merge, work list and index read it, mostly a few columns of it.
+        kept = f"{self.lake.root}/staging/{table}-kept-{self.batch}"
+        self._part(with_lineage(latest, table, self.batch, self.now), date).write.parquet(kept)
+        one = self.spark.read.parquet(kept)
         parts, path = one.select("part_date"), self.path(table)
         if not self.moves:
             self.work.add(table, parts)
@@ -169,6 +179,23 @@ class DailyBatch:
         self.marks[table] = (column, seen.top)
         return {"read": seen.n, **done}
 
+    def _latest(self, rows: DataFrame, identity: list[str], order: list[Column], table: str, many: bool) -> DataFrame:
+        """One row for each identity. Unless ``many`` repeat, only rows of those that do are shuffled as a whole."""
+        if many:
+            return dedup_latest(rows, identity, order)
+        path, seen = f"{self.lake.root}/staging/{table}-repeated-{self.batch}", Observation()
+        names = [F.col(c).alias(f"_k_{c}") for c in identity]
+        repeated = rows.select(*names).repartition(*[f"_k_{c}" for c in identity])
+        repeated = repeated.groupBy(*repeated.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        repeated.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        if seen.get["n"] > FEW_REPEATED:
+            return dedup_latest(rows, identity, order)
+        on = F.lit(True)
+        for c in identity:
+            on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        repeated = F.broadcast(self.spark.read.parquet(path))
+        return rows.join(repeated, on, "left_anti").unionByName(dedup_latest(rows.join(repeated, on, "left_semi"), identity, order))
+
     def usage(self) -> dict:
         return self._ingest(self.src.usage, "usage_start_time", "record_id", "usage_date", USAGE)
 
@@ -324,6 +351,6 @@ class DailyBatch:
             advance_watermark(self.lake, f"ingest_{table}", table, column, top, self.now)
         self.work.forget(LISTED)
         for table in (USAGE, AUDIT):
-            for name in (f"{table}-{self.batch}", f"{table}-moved-{self.batch}"):
-                delete_path(self.spark, f"{self.lake.root}/staging/{name}")
+            for kind in ("", "kept-", "repeated-", "moved-"):
+                delete_path(self.spark, f"{self.lake.root}/staging/{table}-{kind}{self.batch}")
         return done

@@ -48,6 +48,11 @@ def usage(spark: SparkSession, root: str, parts=ALL_PARTS) -> DataFrame:
     """lineitem as usage records, with sku from part, workspace from supplier, user from orders."""
     u = table(spark, root, "lineitem")
     sku = workspace = cloud = user = F.lit(None).cast("string")
+    # The largest table first: what the others add is then not shuffled with the rows.
+    if "user" in parts:
+        o = table(spark, root, "orders").select("o_orderkey", "o_custkey")
+        u = u.join(o, u.l_orderkey == o.o_orderkey, "left")
+        user = F.when(F.col("l_linenumber") != 7, F.concat(F.lit("user"), F.col("o_custkey") % 200))
     if "sku" in parts:
         p = table(spark, root, "part").select("p_partkey", "p_type", "p_brand")
         u, sku = u.join(p, u.l_partkey == p.p_partkey, "left"), F.col("p_type")
@@ -55,10 +60,6 @@ def usage(spark: SparkSession, root: str, parts=ALL_PARTS) -> DataFrame:
         s = table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
         u, workspace = u.join(s, u.l_suppkey == s.s_suppkey, "left"), F.col("s_nationkey").cast("string")
         cloud = _cloud(F.col("s_nationkey"))
-    if "user" in parts:
-        o = table(spark, root, "orders").select("o_orderkey", "o_custkey")
-        u = u.join(o, u.l_orderkey == o.o_orderkey, "left")
-        user = F.when(F.col("l_linenumber") != 7, F.concat(F.lit("user"), F.col("o_custkey") % 200))
     order = F.col("l_orderkey")
     null = F.lit(None).cast("string")
     job = F.when(order % 4 == 0, F.concat(F.lit("job"), F.col("l_partkey") % 50))

@@ -67,6 +67,9 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("_source_file"))
 
 
+LINEAGE = ("_ingestion_timestamp", "_ingestion_date", "_source_system", "_batch_id")
+
+
 def with_lineage(df: DataFrame, source_system: str, batch_id: str, at: dt.datetime) -> DataFrame:
     """Ingestion time, date, source and batch as columns."""
     stamp = F.lit(at).cast("timestamp")

@@ -47,8 +47,13 @@ class KeyIndex:
 
     def moved(self, rows: DataFrame) -> DataFrame:
         """(key, part_date) of stored records that ``rows`` (key, part_date) now put into another partition."""
-        now = rows.select(self.key, F.col("part_date").alias("_now"))
-        return self.find(rows).join(now, self.key).where("part_date <> _now").select(self.key, "part_date").distinct()
+        known = self._rows(self._runs())
+        if known is None:
+            return rows.select(self.key, "part_date").limit(0)
+        # One shuffle of each side: the grouping goes on in the order of the join.
+        now = rows.select(F.xxhash64(self.key).alias("hash"), self.key, F.col("part_date").alias("_now"))
+        place = known.join(now, ["hash", self.key]).groupBy("hash", self.key, "_now").agg(F.max_by("part_date", "_run").alias("part_date"))
+        return place.where("part_date <> _now").select(self.key, "part_date").distinct()
 
     def record(self, rows: DataFrame) -> None:
         """Note where the records of a batch are now; to be called after they were written."""

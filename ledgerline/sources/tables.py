@@ -13,7 +13,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,10 @@ _HISTORY = (
     "schema_json STRING, partition_by ARRAY<STRING>, metrics MAP<STRING,BIGINT>"
 )
 MAX_LISTED_PARTITIONS = 10_000
+#: Up to so many partitions are written by each task as its rows come; for more, rows are first dealt by partition.
+OPEN_FILES = 16
+#: Keys that are sent to all tasks, to tell rows that stay from rows that are replaced.
+BROADCAST_KEYS = 100_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -182,27 +187,79 @@ def upsert_partitions(
 
     ``partition`` is part of the key, so a row never moves. The partition filter is static while
     the source touches few partitions, else a semi join. Spark writes beside the table and swaps
-    the partitions when the job has succeeded; a repeated run gives the same state. The rebalance
-    hint splits a partition that holds much of the data over several tasks and files.
+    the partitions when the job has succeeded; a repeated run gives the same state. The source is evaluated several
+    times, so write it first if it is expensive to compute.
     """
     keys = list(dict.fromkeys([*keys, partition]))
-    seen = Observation()
-    if path_exists(spark, path):
-        old = only_partitions(spark.read.parquet(path), source.select(partition), partition)
-        state = upsert(old, source, keys, **options)
-    else:
+    values = _listed(source, partition)
+    if not path_exists(spark, path):
         state = first_load(source, keys, options.get("unique_source", False))
-    _overwrite(state.observe(seen, *action_metrics()).drop(ACTION), path, partition)
+        return _observed(state, path, partition, values)
+    old = _only(spark.read.parquet(path), source, values, partition)
+    return _merge(old, old, source, keys, path, partition, values, **options)
+
+
+def _merge(
+    old: DataFrame, known: DataFrame, source: DataFrame, keys: list[str], path: str, partition: str, values: list | None,
+    gone: DataFrame | None = None, **options
+) -> dict[str, int]:
+    """Write ``old`` merged with ``source``; ``known`` are the keys of ``old``, which may come by a shorter way.
+
+    Where whole rows are replaced, keys alone are compared. Stored rows that stay are told by the shorter list of keys,
+    without a shuffle of rows while that list is short; if none stays, the stored rows are not read.
+    """
+    whole = options == {"unique_source": True} and dict(old.dtypes) == dict(source.dtypes)
+    if whole:
+        tagged = known.select(*keys, F.lit(1).alias("_o"), F.lit(0).alias("_n"))
+        tagged = tagged.unionByName(source.select(*keys, F.lit(0).alias("_o"), F.lit(1).alias("_n")))
+        both = tagged.groupBy(*keys).agg(F.sum("_o").alias("_o"), F.sum("_n").alias("_n"))
+        stays, replaced = F.col("_n") == 0, (F.col("_n") > 0) & (F.col("_o") > 0)
+        n = both.agg(
+            F.sum(F.when(F.col("_o") == 0, F.col("_n"))).alias("inserted"), F.sum(F.when(replaced, F.col("_n"))).alias("updated"),
+            F.sum(F.when(stays, F.col("_o"))).alias("unchanged"), F.count_if(replaced).alias("keys"), F.max("_o").alias("most"),
+        ).first().asDict()
+        n = {k: int(v or 0) for k, v in n.items()}
+        # A table that holds a key twice, as no upsert leaves it, goes the way of all pairs.
+        whole = n.pop("most") <= 1
+    if not whole:
+        return _observed(upsert(old, source, keys, **options), path, partition, values, gone)
+    met = n.pop("keys")
+    state = source.select(*old.columns)
+    if n["unchanged"]:
+        rest, how, few = both.where(replaced), "left_anti", met <= BROADCAST_KEYS
+        if not few and n["unchanged"] <= BROADCAST_KEYS:
+            rest, how, few = both.where(stays), "left_semi", True
+        rest = rest.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        state = old.join(F.broadcast(rest) if few else rest, on, how).unionByName(state)
+    _overwrite(state, path, partition, gone, values)
+    return n
+
+
+def _observed(state: DataFrame, path: str, partition: str, values: list | None, gone: DataFrame | None = None) -> dict[str, int]:
+    """Write a merged state and count its actions on the way."""
+    seen = Observation()
+    _overwrite(state.observe(seen, *action_metrics()).drop(ACTION), path, partition, gone, values)
     return {k: int(v) for k, v in seen.get.items()}
 
 
+def _listed(parts: DataFrame, partition: str) -> list | None:
+    """The partitions that ``parts`` names, or None if there are too many for a list."""
+    values = [r[0] for r in parts.select(partition).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    return values if len(values) <= MAX_LISTED_PARTITIONS else None
+
+
 def only_partitions(df: DataFrame, parts: DataFrame, partition: str) -> DataFrame:
     """The rows of ``df`` in the partitions that ``parts`` names: a static filter for few of them, else a semi join."""
-    touched = parts.select(partition).distinct()
-    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) > MAX_LISTED_PARTITIONS:
+    return _only(df, parts, _listed(parts, partition), partition)
+
+
+def _only(df: DataFrame, parts: DataFrame, values: list | None, partition: str) -> DataFrame:
+    if values is None:
         same = F.col(f"o.{partition}").eqNullSafe(F.col(f"n.{partition}"))
-        return df.alias("o").join(touched.alias("n"), same, "left_semi")
+        return df.alias("o").join(parts.select(partition).distinct().alias("n"), same, "left_semi")
     some = [v for v in values if v is not None]
     hit = F.col(partition).isin(some) if some else F.lit(False)
     if len(some) < len(values):
@@ -215,18 +272,37 @@ def _file_names(spark: SparkSession, path: str) -> set[str]:
     return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
 
 
-def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None = None) -> None:
+@contextmanager
+def _open_files(spark: SparkSession, n: int) -> Iterator[None]:
+    """Each task may keep so many partitions' files open, so that it need not sort its rows by partition."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None = None, values: list | None = None) -> None:
     """Swap in the partitions that ``df`` has rows for; of ``parts``, those that it has none for are removed.
 
+    ``values`` are all partitions of ``df``, where they are known. Rows of a few partitions are written by the tasks
+    that make them, without a shuffle or a sort; for many, the rebalance hint brings the rows of a partition together
+    and splits one that holds much of the data over several tasks and files.
     A partition whose files are still there after the swap was not written. Only folder names are kept on the driver.
     """
     spark, held = df.sparkSession, {}
     for row in [] if parts is None else parts.select(partition).distinct().toLocalIterator():
         folder = f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}"
         held[folder] = next(iter(_file_names(spark, folder)), None)
-    df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
-    ).parquet(path)
+    few = values is not None and len(values) <= OPEN_FILES
+    with _open_files(spark, OPEN_FILES if few else 0):
+        (df if few else df.hint("rebalance", partition)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for folder, name in held.items():
         if name is not None and name in _file_names(spark, folder):
             delete_path(spark, folder)
@@ -242,20 +318,19 @@ def move_partitions(
     """
     if not path_exists(spark, path):
         return upsert_partitions(spark, path, source, [key], partition, unique_source=True)
-    seen = Observation()
     both = source.select(partition).union(moved.select(partition)).distinct()
-    old = only_partitions(spark.read.parquet(path), both, partition)
-    state = upsert(old.join(moved.select(key, partition), [key, partition], "left_anti"), source, [key, partition], unique_source=True)
-    _overwrite(state.observe(seen, *action_metrics()).drop(ACTION), path, partition, moved)
-    return {k: int(v) for k, v in seen.get.items()}
+    values, keys, left = _listed(both, partition), [key, partition], moved.select(key, partition)
+    old = _only(spark.read.parquet(path), both, values, partition)
+    known = old.select(*keys).join(left, keys, "left_anti")
+    return _merge(old.join(left, keys, "left_anti"), known, source, keys, path, partition, values, moved, unique_source=True)
 
 
 def replace_partitions(path: str, df: DataFrame, partition: str, parts: DataFrame | None = None) -> None:
     """Replace exactly the partitions present in ``df``: groups that vanished from them go too.
 
-    With ``parts``, partitions named there for which ``df`` has no row are removed.
+    With ``parts``, which then names all partitions of ``df``, those for which ``df`` has no row are removed.
     """
-    _overwrite(df, path, partition, parts)
+    _overwrite(df, path, partition, parts, None if parts is None else _listed(parts, partition))
 
 
 def ensure_layers(spark: SparkSession, root: str, layers: Sequence[str] = ("bronze", "silver", "gold", "dims", "meta")) -> None:

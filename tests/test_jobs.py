@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from conftest import DATA
 from ledgerline.catalog.registry import Inputs, NOW
 from ledgerline.functions import calc
 from ledgerline.operators.features import feature_table
-from ledgerline.plans import anomalies, dims, facts, gold, governance, medallion, monitoring
+from ledgerline.plans import anomalies, daily, dims, facts, gold, governance, medallion, monitoring
 from ledgerline.plans.daily import DailyBatch, Sources
 from ledgerline.plans.specs import SPECS, conform
-from ledgerline.sources import drift, files, watermarks
+from ledgerline.sources import drift, files, tables, watermarks
 from ledgerline.sources.keyindex import KeyIndex
 from ledgerline.sources.tables import list_names, make_folder, move_partitions, replace_partitions, upsert_partitions
 from ledgerline.sources.worklist import WorkList
@@ -440,3 +441,33 @@ def test_replaced_partitions_without_rows_go(spark, folder):
     replace_partitions(path, frame((1, "x"), (2, "y"), (3, "z"), (4, None)), "d")
     replace_partitions(path, frame((5, "x")), "d", frame((0, "x"), (0, "y"), (0, None), (0, "never")))
     assert sorted((r.k, r.d) for r in spark.read.parquet(path).collect()) == [(3, "z"), (5, "x")]
+
+
+@pytest.mark.parametrize("listed", [0, 1, 100])
+def test_whole_rows_are_replaced_by_their_keys_alone(spark, folder, monkeypatch, listed):
+    monkeypatch.setattr(tables, "BROADCAST_KEYS", listed)
+    frame = lambda *r: spark.createDataFrame(list(r), "k int, d string, v string")
+    state = lambda p: sorted((tuple(r) for r in spark.read.parquet(p).select("k", "d", "v").collect()), key=str)
+    load = lambda *r: upsert_partitions(spark, f"{folder}/t", frame(*r), ["k"], "d", unique_source=True)
+    load((1, "x", "a"), (2, "x", "b"), (None, "x", "c"), (3, "y", "d"), (4, None, "e"))
+    # The join of all pairs of rows is for merges that need both sides.
+    monkeypatch.setattr(tables, "upsert", lambda *a, **b: 1 / 0)
+    assert load((None, "x", "C"), (2, "x", "B"), (5, "x", "f"), (4, None, "E")) == {"inserted": 1, "updated": 3, "unchanged": 1}
+    assert load((3, "y", "D")) == {"inserted": 0, "updated": 1, "unchanged": 0}
+    assert state(f"{folder}/t") == sorted([(1, "x", "a"), (2, "x", "B"), (None, "x", "C"), (3, "y", "D"), (4, None, "E"), (5, "x", "f")], key=str)
+    monkeypatch.undo()
+    # Keys that a stored table holds twice are both replaced, as before.
+    frame((7, "z", "g"), (7, "z", "h"), (8, "z", "i")).write.partitionBy("d").parquet(f"{folder}/twice")
+    assert upsert_partitions(spark, f"{folder}/twice", frame((7, "z", "G")), ["k"], "d", unique_source=True) == {"inserted": 0, "updated": 2, "unchanged": 1}
+    assert state(f"{folder}/twice") == [(7, "z", "G"), (7, "z", "G"), (8, "z", "i")]
+
+
+@pytest.mark.parametrize("listed", [0, 100])
+def test_repeated_records_are_kept_once(spark, lake, monkeypatch, listed):
+    monkeypatch.setattr(daily, "FEW_REPEATED", listed)
+    rows = spark.createDataFrame([(1, "a", 1), (1, "a", 3), (1, "a", 2), (1, "b", 1), (None, "a", 1), (None, "a", 2), (2, None, 5)], "k int, d string, v int")
+    batch = DailyBatch(lake, Sources(None, None, None), NOW)
+    for many in (False, True):
+        batch.batch = uuid.uuid4().hex
+        got = batch._latest(rows, ["k", "d"], [F.desc("v")], "t", many)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "a", 3), (1, "b", 1), (None, "a", 2), (2, None, 5)], key=str)
