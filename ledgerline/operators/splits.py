@@ -17,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows aimed at for one range.
-ROWS_PER_SPLIT = 4_000_000
+#: Rows aimed at for one range; a task that ranks one sorts it and holds it once more for each window.
+ROWS_PER_SPLIT = 1_000_000
 #: Beyond this many ranges Spark's sample (a million rows) has few points for each; ranges grow instead.
 MAX_SPLITS = 10_000
 
@@ -36,6 +36,12 @@ def range_splits(df: DataFrame, order: Sequence[Column], path: str, rows_per_spl
     return spark.read.parquet(path)
 
 
+def _one_by_one(parts: DataFrame) -> DataFrame:
+    """Dealt by the number of the range, so that a task sorts one range; by a hash of it, several would meet in one."""
+    last = parts.agg(F.max("_blk")).first()[0]
+    return parts.repartitionByRange((last or 0) + 1, "_blk")
+
+
 def _cut_keys(parts: DataFrame) -> DataFrame:
     """Keys that lie in several ranges: such a key is the first or the last one of each of them."""
     ends = parts.groupBy("_blk").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi"))
@@ -78,7 +84,7 @@ def split_windows(
         cols |= {"_lag": F.lag(neighbours).over(inside), "_lead": F.lead(neighbours).over(inside)}
     state = _carried(parts.join(F.broadcast(_cut_keys(parts)), "_k", "left_semi"), order, tie, descending, running, neighbours)
 
-    j = parts.withColumns(cols).join(F.broadcast(state), ["_k", "_blk"], "left")
+    j = _one_by_one(parts).withColumns(cols).join(F.broadcast(state), ["_k", "_blk"], "left")
     n0, d0 = F.coalesce("_n0", F.lit(0)), F.coalesce("_d0", F.lit(0))
     out = {
         "row_num": F.col("_rn") + n0,
@@ -171,7 +177,7 @@ def split_asof(
     order = ["_k", "_ts", "_side", "_right"]
     parts = range_splits(mine.unionByName(r), [F.asc(c) for c in order], path, rows_per_split)
     inside = Window.partitionBy("_k", "_blk").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = parts.withColumn("_near", F.last("_right", ignorenulls=True).over(inside)).where("_side = 1")
+    near = _one_by_one(parts).withColumn("_near", F.last("_right", ignorenulls=True).over(inside)).where("_side = 1")
 
     cut = parts.select("_k", "_blk", "_right").join(F.broadcast(_cut_keys(parts.select("_k", "_blk"))), "_k", "left_semi")
     before = Window.partitionBy("_k").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators import splits
 from ledgerline.operators.splits import range_splits, split_asof, split_windows
 
 SCHEMA = "k string, v double, id long, x decimal(18,2)"
@@ -84,3 +85,12 @@ def test_asof_equals_brute_force(spark, folder):
 
     want = {i: best(k, t) or (None, None) for k, t, i in left}
     assert {x.id: (x.p, x.t_matched) for x in got.collect()} == want
+
+
+def test_a_task_gets_one_range(spark, folder):
+    """Ranges that meet in one task would be sorted together, however small each is."""
+    df = spark.range(3000).selectExpr("'hot' AS k", "1.0D AS v", "id")
+    parts = range_splits(df, [F.asc("k"), F.asc("v"), F.asc("id")], f"{folder}/p", 100)
+    met = splits._one_by_one(parts).groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("_blk").alias("n")).collect()
+    assert len(met) == parts.select("_blk").distinct().count() and {r.n for r in met} == {1}
+    assert splits.ROWS_PER_SPLIT <= 1_000_000
