@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialise
 
-BLANK = r"[\x20\x09-\x0D]+"
 #: Character classes, each counted in what the classes before it have left of the text.
 CLASSES = {
     "small": r"[\p{Ll}\p{Lo}\p{Lm}\p{M}]+",
@@ -38,22 +37,30 @@ def measures(rows: DataFrame) -> DataFrame:
 
     Windows of three words are compared by their 64-bit hash.
     """
-    rows = rows.withColumn("words", F.array_remove(F.split("text", BLANK), ""))
+    # Split at one plain character, which takes no regular expression.
+    plain = F.col("text")
+    for blank in "\t\n\u000b\f\r":
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
+    rows = rows.withColumn("words", F.array_remove(F.split(plain, " "), ""))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
-    rows = rows.withColumn("word_chars", F.length(F.regexp_replace("text", BLANK, "")).cast("long"))
-    rows = rows.withColumn("n_symbols", F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long"))
+    rows = rows.withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
+    bare = F.col("text")
+    for symbol in "#*$%&|<>":
+        bare = F.replace(bare, F.lit(symbol), F.lit(""))
+    # Symbols are one byte each.
+    rows = rows.withColumn("n_symbols", (F.octet_length("text") - F.octet_length(bare)).cast("long"))
     rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x, F.lit(" \t\n\u000b\f\r"))) > 0))
     rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
     hashed = F.transform("words", lambda w, i: F.xxhash64(w, _lag("words", i, 1), _lag("words", i, 2)))
     rows = rows.withColumn("windows", F.when(F.col("n_words") >= 3, F.slice(hashed, F.lit(1), F.greatest(F.lit(0), F.size("words") - 2))).otherwise(F.array().cast("array<bigint>")))
-    rows = rows.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.array_sort("windows")))
+    rows = rows.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array("windows")))
     rows = rows.withColumn("twice", F.array_distinct(F.filter("ordered", lambda x, i: _lag("ordered", i, -1) == x)))
     many = F.size("twice") > LOOKED_UP
-    placed = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     rows = rows.withColumn("placed", F.when(many, placed))
     beside = lambda x, i, by: F.coalesce(_lag("placed", i, by)["h"] == x["h"], F.lit(False))
     repeated = F.filter("placed", lambda x, i: beside(x, i, -1) | beside(x, i, 1))
-    sorted_ = F.array_sort(F.transform(repeated, lambda x: x["i"]))
+    sorted_ = F.sort_array(F.transform(repeated, lambda x: x["i"]))
     listed = F.filter(F.transform("windows", lambda h, i: F.when(F.array_contains(F.col("twice"), h), i)), lambda p: p.isNotNull())
     rows = rows.withColumn("at", F.when(F.col("twice").isNull(), F.array().cast("array<int>")).when(many, sorted_).otherwise(listed))
     covered = F.transform("at", lambda p, i: F.least(F.lit(3), F.coalesce(_lag("at", i, 1), p + 3) - p).cast("long"))
@@ -129,9 +136,10 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = rows.join(F.broadcast(refs), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     rows = rows.withColumn("classes", F.array(*names)).drop(*names)
     trimmed = F.trim("spaced")
-    gaps = F.length(trimmed) - F.length(F.replace(trimmed, F.lit("  "), F.lit(" ")))
-    rows = rows.withColumn("letters_words", F.when(F.length(trimmed) > 0, gaps + 1).otherwise(0))
-    count = lambda w: (F.length("spaced") - F.length(F.replace(F.col("spaced"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.length(w) + 2)
+    # Bytes are counted: what is cut out has as many bytes each time.
+    gaps = F.octet_length(trimmed) - F.octet_length(F.replace(trimmed, F.lit("  "), F.lit(" ")))
+    rows = rows.withColumn("letters_words", F.when(F.octet_length(trimmed) > 0, gaps + 1).otherwise(0))
+    count = lambda w: (F.octet_length("spaced") - F.octet_length(F.replace(F.col("spaced"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2)
     rows = rows.withColumn("found", F.transform("ref_words", lambda w: count(w)))
     others = F.greatest(F.lit(0.0), F.col("letters_words") - F.aggregate("found", F.lit(0.0), lambda a, x: a + x))
     rows = rows.withColumn("found", F.concat("found", F.array(others.cast("double")))).drop("spaced")

@@ -522,3 +522,13 @@ def test_running_start(spark, monkeypatch):
         for r in sorted((r for r in got if r["k"] == k), key=lambda r: (r["start"], r["size"] > 0)):
             assert r["start"] == at
             at += r["size"]
+
+
+def test_quality_measures_need_no_regular_expression(spark):
+    """Words, their letters and symbols are counted by plain replacement; all six blanks part words, others do not."""
+    text = "a\tbb\nccc\u000bd\u000ce\rf  g h #*$%&|<> ä€\U0001f600 <<"
+    df = spark.createDataFrame([(text,), ("",), (" \t\n",)], "text string")
+    plan = quality_rules.measures(df)
+    rows = [(r.n_words, r.word_chars, r.n_symbols) for r in plan.collect()]
+    assert rows == [(10, 25, 10), (0, 0, 0), (0, 0, 0)]
+    assert "regexp" not in plan._jdf.queryExecution().optimizedPlan().toString()
