@@ -11,7 +11,7 @@ from ledgerline.operators.merge import action_counts, change_feed, deactivate_mi
 from ledgerline.plans.daily import DailyBatch, Sources
 from ledgerline.plans.medallion import control_frame, demo_control, run_medallion
 from ledgerline.sources import files, watermarks
-from ledgerline.sources.tables import Lake, upsert_partitions
+from ledgerline.sources.tables import Lake, upsert_partitions, write_rows
 
 # The first load ends where the second has long begun: the overlap is updated, the rest inserted.
 FIRST_END, SECOND_START = "2000-07-01", "2000-01-01"
@@ -292,16 +292,14 @@ SELECT year(start) AS usage_year, COUNT(*) AS records, {D("SUM(usage_quantity)")
 FROM placed LEFT JOIN price p ON p.sku = placed.sku AND p.cloud = placed.cloud AND start >= valid_from AND (valid_to IS NULL OR start < valid_to) GROUP BY 1""")
 def _(i: Inputs) -> DataFrame:
     """Every seventh order's records get another date, mostly in another partition; each is there once, in all layers."""
-    lake, audit, path = i.lake(), i.audit_raw.drop("_value"), i.folder("usage")
-    # Both runs read all of it, so its joins are made once.
-    i.usage().write.parquet(path)
-    usage = i.spark.read.parquet(path)
-    corrected = F.split("record_id", "-")[0].cast("long") % 7 == 0
+    # Both runs read all rows: joins and parsing are done once, and the runs read the files where they lie.
+    lake, usage, audit = i.lake(), write_rows(i.usage(), i.folder("usage")), write_rows(i.audit_raw.drop("_value"), i.folder("audit"))
+    corrected = F.substring_index("record_id", "-", 1).cast("long") % 7 == 0
     later = lambda c: F.when(corrected, F.col(c) + F.expr("INTERVAL 400 DAYS")).otherwise(F.col(c)).cast(usage.schema[c].dataType)
     second = usage.withColumns({c: later(c) for c in ("usage_start_time", "usage_end_time", "usage_date", "ingestion_date")})
     for source in (usage, second):
         # Corrections keep their old times as marks, so all rows are looked at again.
-        sources = Sources(source, i.prices, audit)
+        sources = Sources(source, i.prices, audit, stored=["usage", "audit"])
         DailyBatch(lake, sources, NOW, grain="year", first="1990-01-01 00:00:00", lookback_days=20_000, moves=True).run(_STEPS)
     year = F.year("usage_date").alias("usage_year")
     bronze, cost = (i.spark.read.parquet(f"{lake.root}/facts/{t}") for t in ("bronze_billing_usage", "fact_cost"))

@@ -21,16 +21,23 @@ from ledgerline.plans import anomalies, dims, facts, gold
 from ledgerline.plans.monitoring import run_steps
 from ledgerline.sources.files import LINEAGE, with_lineage
 from ledgerline.sources.keyindex import KeyIndex
-from ledgerline.sources.tables import Lake, delete_path, move_partitions, only_partitions, path_exists, replace_partitions, upsert_partitions
+from ledgerline.sources.tables import (
+    Lake, bounded_sorts, delete_path, move_partitions, only_partitions, path_exists, replace_partitions, settings,
+    upsert_partitions, write_rows,
+)
 from ledgerline.sources.watermarks import FIRST, advance_watermark, full_scan, incremental_scan, read_watermark
 from ledgerline.sources.worklist import WorkList
 
 
 @dataclass
 class Sources:
+    """``stored`` names the sources (usage, audit) that are files which stay as they are while a batch runs: rows of them are
+    read in place where most of them are new, so they are not written once more."""
+
     usage: DataFrame
     prices: DataFrame
     audit: DataFrame
+    stored: Sequence[str] = ()
 
 
 def usage_rules() -> dict:
@@ -122,6 +129,7 @@ class DailyBatch:
         self.spark = lake.spark
         self.work = WorkList(self.spark, f"{lake.root}/meta/worklist")
         self.parts: dict[str, DataFrame] = {}
+        self.new: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.lake.root}/facts/{table}"
@@ -139,18 +147,20 @@ class DailyBatch:
     def fact(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def _ingest(self, src: DataFrame, column: str, key: str, date: str, table: str) -> dict:
+    def _ingest(self, src: DataFrame, column: str, key: str, date: str, table: str, stored: bool) -> dict:
         mark = read_watermark(self.lake, f"ingest_{table}", table, self.first)
-        new = incremental_scan(src, column, mark, self.lookback)
-        # The batch is read by several steps, so it is written once and read from there.
-        staged = f"{self.lake.root}/staging/{table}-{self.batch}"
-        with_lineage(new, table, self.batch, self.now).write.parquet(staged)
-        batch = self.spark.read.parquet(staged)
+        batch = incremental_scan(src, column, mark, self.lookback)
         identity = [key] if self.moves else [key, date]
-        seen = batch.agg(
+        look = [
             F.count(F.lit(1)).alias("n"), F.max(column).cast("string").alias("top"),
             F.approx_count_distinct(F.xxhash64(*identity), 0.01).alias("identities"),
-        ).first()
+        ]
+        seen = batch.agg(*look).first() if stored else None
+        # The batch is read by several steps, so it is written once and read from there.
+        if seen is None or 2 * seen.n < src.count():
+            batch = write_rows(batch, f"{self.lake.root}/staging/{table}-{self.batch}")
+            seen = seen or batch.agg(*look).first()
+        self.new[table] = batch
         self.read[table] = seen.n
         if not seen.n:
             return {"read": 0, "inserted": 0, "updated": 0}
@@ -159,16 +169,27 @@ class DailyBatch:
         bare = batch.drop(*LINEAGE)
         order = [*arrival, F.desc(column), *[F.desc(c) for c, k in bare.dtypes if not k.startswith("map")]]
         latest = self._latest(bare, identity, order, table, seen.n - seen.identities > REPEATED_SHARE * seen.n)
+        latest = self._part(with_lineage(latest, table, self.batch, self.now), date)
+        path, sorts = self.path(table), bounded_sorts(self.spark, seen.n)
+        index = KeyIndex(self.spark, f"{self.lake.root}/meta/index/{table}", key)
+        self.marks[table] = (column, seen.top)
+        if not path_exists(self.spark, path):
+            # With nothing to merge with, rows are written where they stay. Only their partitions are known before.
+            parts = self.work.listing(self.work.add(table, self._part(batch, date).select("part_date")))
+            with settings(self.spark, sorts):
+                done = upsert_partitions(self.spark, path, latest, [key, date], "part_date", parts, unique_source=True)
+            if self.moves:
+                index.record(self.fact(table).withColumn("part_date", F.col("part_date").cast("date")))
+            return {"read": seen.n, **done}
         # Written too: merge, work list and index read it, mostly a few columns of it.
         kept = f"{self.lake.root}/staging/{table}-kept-{self.batch}"
-        self._part(with_lineage(latest, table, self.batch, self.now), date).write.parquet(kept)
-        one = self.spark.read.parquet(kept)
-        parts, path = one.select("part_date"), self.path(table)
+        with settings(self.spark, sorts):
+            one = write_rows(latest, kept)
+        parts = one.select("part_date")
         if not self.moves:
             self.work.add(table, parts)
             done = upsert_partitions(self.spark, path, one, [key, date], "part_date", unique_source=True)
         else:
-            index = KeyIndex(self.spark, f"{self.lake.root}/meta/index/{table}", key)
             gone = f"{self.lake.root}/staging/{table}-moved-{self.batch}"
             index.moved(one.select(key, "part_date")).write.parquet(gone)
             moved = self.spark.read.parquet(gone)
@@ -176,7 +197,6 @@ class DailyBatch:
             done = move_partitions(self.spark, path, one, key, "part_date", moved)
             # After the records themselves: until then the index says where a rerun finds the old ones.
             index.record(one)
-        self.marks[table] = (column, seen.top)
         return {"read": seen.n, **done}
 
     def _latest(self, rows: DataFrame, identity: list[str], order: list[Column], table: str, many: bool) -> DataFrame:
@@ -197,10 +217,10 @@ class DailyBatch:
         return rows.join(repeated, on, "left_anti").unionByName(dedup_latest(rows.join(repeated, on, "left_semi"), identity, order))
 
     def usage(self) -> dict:
-        return self._ingest(self.src.usage, "usage_start_time", "record_id", "usage_date", USAGE)
+        return self._ingest(self.src.usage, "usage_start_time", "record_id", "usage_date", USAGE, "usage" in self.src.stored)
 
     def audit(self) -> dict:
-        return self._ingest(self.src.audit, "event_time", "event_id", "event_date", AUDIT)
+        return self._ingest(self.src.audit, "event_time", "event_id", "event_date", AUDIT, "audit" in self.src.stored)
 
     def prices(self) -> dict:
         name = "bronze/bronze_billing_prices"
@@ -224,7 +244,7 @@ class DailyBatch:
     def dimensions(self) -> dict:
         lk = self.lake
         lk.insert_missing("dims/dim_environment", dims.environments(self.spark), ["environment"])
-        usage, audit = self._batch(USAGE), self._batch(AUDIT)
+        usage, audit = self.new[USAGE], self.new[AUDIT]
         found = dims.discovered_workspaces(usage, audit)
         empty = ["workspace_name", "environment", "region", "business_unit", "department", "cost_center", "owner"]
         found = found.withColumns({c: F.lit(None).cast("string") for c in empty})
@@ -236,9 +256,6 @@ class DailyBatch:
             lk.insert_missing("dims/dim_user", dims.audit_users(audit), ["user_id"])
         return done
 
-    def _batch(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.lake.root}/staging/{table}-{self.batch}")
-
     def _listed(self, source: str) -> bool:
         return not self.parts[source].isEmpty()
 

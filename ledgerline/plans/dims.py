@@ -52,12 +52,19 @@ def environments(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ENVIRONMENTS, "environment string, description string")
 
 
+def _occurring(rows: DataFrame, key: str) -> DataFrame:
+    """Each row once. Each task finds them by hashes, where the largest text of a key would have all its rows sorted.
+
+    They are dealt by the key, without which Spark would leave the step out before such an aggregate.
+    """
+    return rows.distinct().repartition(key)
+
+
 def discovered_workspaces(usage: DataFrame, audit: DataFrame) -> DataFrame:
     """Workspaces seen in usage or audit, one row each; attributes are the largest present value."""
     u = usage.select("workspace_id", "account_id", "cloud")
     a = audit.filter("workspace_id <> '0'").select("workspace_id", "account_id", F.lit(None).cast("string").alias("cloud"))
-    # Each side is reduced before the union, so the shuffle carries one row per task and workspace.
-    seen = u.unionByName(a).filter("workspace_id IS NOT NULL").groupBy("workspace_id")
+    seen = _occurring(u.unionByName(a).filter("workspace_id IS NOT NULL"), "workspace_id").groupBy("workspace_id")
     return seen.agg(F.max("account_id").alias("account_id"), F.max("cloud").alias("cloud")).withColumn(
         "status", F.lit("Active")
     )
@@ -76,7 +83,7 @@ WORKSPACE_REFRESH = {
 def skus(usage: DataFrame) -> DataFrame:
     """One row per SKU with the largest product, cloud and unit seen."""
     return (
-        usage.filter("sku_name IS NOT NULL")
+        _occurring(usage.filter("sku_name IS NOT NULL").select("sku_name", "billing_origin_product", "cloud", "usage_unit"), "sku_name")
         .groupBy(F.col("sku_name").alias("sku"))
         .agg(
             F.max("billing_origin_product").alias("product"),
@@ -98,9 +105,9 @@ def billing_users(usage: DataFrame) -> DataFrame:
             )
         ).alias("x")
     )
-    people = ids.filter("x.id IS NOT NULL").groupBy(F.col("x.id").alias("user_id"))
+    people = _occurring(ids.filter("x.id IS NOT NULL").select(F.col("x.id").alias("user_id"), F.col("x.kind").alias("kind")), "user_id")
     # 'servicePrincipal' sorts before 'user'.
-    return _user_row(people.agg(F.min("x.kind").alias("user_type")), F.lit(None).cast("string"))
+    return _user_row(people.groupBy("user_id").agg(F.min("kind").alias("user_type")), F.lit(None).cast("string"))
 
 
 def audit_users(audit: DataFrame) -> DataFrame:
@@ -108,7 +115,7 @@ def audit_users(audit: DataFrame) -> DataFrame:
     seen = audit.select(
         F.col("user_identity.email").alias("user_id"), F.col("user_identity.subject_name").alias("user_name")
     ).filter("user_id IS NOT NULL")
-    one = seen.groupBy("user_id").agg(F.max("user_name").alias("user_name")).withColumn("user_type", F.lit("user"))
+    one = _occurring(seen, "user_id").groupBy("user_id").agg(F.max("user_name").alias("user_name")).withColumn("user_type", F.lit("user"))
     return _user_row(one, F.col("user_name"))
 
 

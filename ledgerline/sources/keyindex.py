@@ -50,10 +50,11 @@ class KeyIndex:
         known = self._rows(self._runs())
         if known is None:
             return rows.select(self.key, "part_date").limit(0)
-        # One shuffle of each side: the grouping goes on in the order of the join.
+        # Grouped by hashes, as a join of two large lists would sort both. A known place is that of the newest run.
         now = rows.select(F.xxhash64(self.key).alias("hash"), self.key, F.col("part_date").alias("_now"))
-        place = known.join(now, ["hash", self.key]).groupBy("hash", self.key, "_now").agg(F.max_by("part_date", "_run").alias("part_date"))
-        return place.where("part_date <> _now").select(self.key, "part_date").distinct()
+        both = known.unionByName(now, allowMissingColumns=True).where(F.col(self.key).isNotNull()).groupBy("hash", self.key)
+        place = both.agg(F.max_by("part_date", "_run").alias("part_date"), F.min("_now").alias("_first"), F.max("_now").alias("_last"))
+        return place.where("part_date <> _first OR part_date <> _last").select(self.key, "part_date")
 
     def record(self, rows: DataFrame) -> None:
         """Note where the records of a batch are now; to be called after they were written."""

@@ -31,6 +31,8 @@ MAX_LISTED_PARTITIONS = 10_000
 OPEN_FILES = 16
 #: Keys that are sent to all tasks, to tell rows that stay from rows that are replaced.
 BROADCAST_KEYS = 100_000
+#: Whole rows that a task sorts, about: larger sorts go to disk.
+SORTED_ROWS = 1_000_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -181,17 +183,18 @@ def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str, **options
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str, parts: DataFrame | None = None, **options
 ) -> dict[str, int]:
     """Upsert into a partitioned Parquet folder, reading and rewriting only touched partitions.
 
     ``partition`` is part of the key, so a row never moves. The partition filter is static while
     the source touches few partitions, else a semi join. Spark writes beside the table and swaps
     the partitions when the job has succeeded; a repeated run gives the same state. The source is evaluated several
-    times, so write it first if it is expensive to compute.
+    times, so write it first if it is expensive to compute. A first load evaluates it once, if ``parts`` names its
+    partitions.
     """
     keys = list(dict.fromkeys([*keys, partition]))
-    values = _listed(source, partition)
+    values = _listed(source if parts is None else parts, partition)
     if not path_exists(spark, path):
         state = first_load(source, keys, options.get("unique_source", False))
         return _observed(state, path, partition, values)
@@ -203,17 +206,18 @@ def _merge(
     old: DataFrame, known: DataFrame, source: DataFrame, keys: list[str], path: str, partition: str, values: list | None,
     gone: DataFrame | None = None, **options
 ) -> dict[str, int]:
-    """Write ``old`` merged with ``source``; ``known`` are the keys of ``old``, which may come by a shorter way.
+    """Write ``old`` merged with ``source``; ``known`` are the keys of ``old`` and may still hold those of ``gone``.
 
     Where whole rows are replaced, keys alone are compared. Stored rows that stay are told by the shorter list of keys,
     without a shuffle of rows while that list is short; if none stays, the stored rows are not read.
     """
     whole = options == {"unique_source": True} and dict(old.dtypes) == dict(source.dtypes)
     if whole:
-        tagged = known.select(*keys, F.lit(1).alias("_o"), F.lit(0).alias("_n"))
-        tagged = tagged.unionByName(source.select(*keys, F.lit(0).alias("_o"), F.lit(1).alias("_n")))
-        both = tagged.groupBy(*keys).agg(F.sum("_o").alias("_o"), F.sum("_n").alias("_n"))
-        stays, replaced = F.col("_n") == 0, (F.col("_n") > 0) & (F.col("_o") > 0)
+        tag = lambda df, o, n, g: df.select(*keys, F.lit(o).alias("_o"), F.lit(n).alias("_n"), F.lit(g).alias("_g"))
+        tagged = tag(known, 1, 0, 0).unionByName(tag(source, 0, 1, 0))
+        tagged = tagged if gone is None else tagged.unionByName(tag(gone, 0, 0, 1))
+        both = tagged.groupBy(*keys).agg(F.when(F.max("_g") == 0, F.sum("_o")).otherwise(0).alias("_o"), F.sum("_n").alias("_n"))
+        stays, replaced = (F.col("_n") == 0) & (F.col("_o") > 0), (F.col("_n") > 0) & (F.col("_o") > 0)
         n = both.agg(
             F.sum(F.when(F.col("_o") == 0, F.col("_n"))).alias("inserted"), F.sum(F.when(replaced, F.col("_n"))).alias("updated"),
             F.sum(F.when(stays, F.col("_o"))).alias("unchanged"), F.count_if(replaced).alias("keys"), F.max("_o").alias("most"),
@@ -273,18 +277,39 @@ def _file_names(spark: SparkSession, path: str) -> set[str]:
 
 
 @contextmanager
-def _open_files(spark: SparkSession, n: int) -> Iterator[None]:
-    """Each task may keep so many partitions' files open, so that it need not sort its rows by partition."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(n))
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """Session settings for the duration of a write."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def bounded_sorts(spark: SparkSession, rows: int) -> dict[str, int]:
+    """Settings by which a job over so many stored rows sorts about ``SORTED_ROWS`` in a task, before and after a shuffle."""
+    tasks, reads = -(-rows // SORTED_ROWS), "spark.sql.files.minPartitionNum"
+    deals = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = {reads: spark.conf.get(reads, None) or spark.sparkContext.defaultParallelism,
+           deals: spark.conf.get(deals, None) or spark.conf.get("spark.sql.shuffle.partitions")}
+    return {name: 2 * tasks for name, n in now.items() if 2 * tasks > int(n)}
+
+
+def write_rows(df: DataFrame, path: str) -> DataFrame:
+    """Write rows that later jobs read several times, in files that tasks can share out; returns them as stored.
+
+    A joined side that fits into memory by parts, as found after its shuffle, is hashed, so the rows are not sorted.
+    """
+    spark, hashed = df.sparkSession, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    with settings(spark, {hashed: spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")}):
+        df.write.option("maxRecordsPerFile", SORTED_ROWS).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None = None, values: list | None = None) -> None:
@@ -300,7 +325,7 @@ def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None
         folder = f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}"
         held[folder] = next(iter(_file_names(spark, folder)), None)
     few = values is not None and len(values) <= OPEN_FILES
-    with _open_files(spark, OPEN_FILES if few else 0):
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES if few else 0}):
         (df if few else df.hint("rebalance", partition)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for folder, name in held.items():
@@ -321,8 +346,7 @@ def move_partitions(
     both = source.select(partition).union(moved.select(partition)).distinct()
     values, keys, left = _listed(both, partition), [key, partition], moved.select(key, partition)
     old = _only(spark.read.parquet(path), both, values, partition)
-    known = old.select(*keys).join(left, keys, "left_anti")
-    return _merge(old.join(left, keys, "left_anti"), known, source, keys, path, partition, values, moved, unique_source=True)
+    return _merge(old.join(left, keys, "left_anti"), old.select(*keys), source, keys, path, partition, values, left, unique_source=True)
 
 
 def replace_partitions(path: str, df: DataFrame, partition: str, parts: DataFrame | None = None) -> None:

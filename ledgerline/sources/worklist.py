@@ -44,6 +44,10 @@ class WorkList:
         rows.coalesce(1).write.parquet(self._folder(number))
         return number
 
+    def listing(self, number: int) -> DataFrame:
+        """The partitions (``part_date``) of one listing."""
+        return self.spark.read.schema(self.SCHEMA).parquet(self._folder(number)).select("part_date")
+
     def last(self) -> int:
         return max(self._numbers(), default=0)
 

@@ -471,3 +471,56 @@ def test_repeated_records_are_kept_once(spark, lake, monkeypatch, listed):
         batch.batch = uuid.uuid4().hex
         got = batch._latest(rows, ["k", "d"], [F.desc("v")], "t", many)
         assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "a", 3), (1, "b", 1), (None, "a", 2), (2, None, 5)], key=str)
+
+
+@pytest.mark.parametrize("moves", [False, True])
+def test_stored_sources_and_first_loads_are_not_written_twice(spark, lake, folder, monkeypatch, moves):
+    written, write = [], daily.write_rows
+    monkeypatch.setattr(daily, "write_rows", lambda df, path: written.append(path.split("/")[-1].rsplit("-", 1)[0]) or write(df, path))
+    at = lambda m, d: dt.datetime(2023, m, d, 5)
+    frame = lambda *r: spark.createDataFrame([(k, s, s and s.date(), v) for k, s, v in r], "record_id string, usage_start_time timestamp, usage_date date, v int")
+
+    def load(n, *rows):
+        path = f"{folder}/source{n}"
+        frame(*rows).write.parquet(path)
+        written.clear()
+        usage = spark.read.parquet(path)
+        batch = DailyBatch(lake, Sources(usage, None, None, stored=["usage"]), NOW, grain="month", lookback_days=40, moves=moves)
+        done = batch.run(["usage"])[0]
+        return {k: done[k] for k in ("read", "inserted", "updated", "unchanged")}
+
+    first = [("a", at(1, 1), 1), ("a", at(1, 1), 2), ("b", at(1, 2), 1), (None, at(2, 1), 1), (None, at(2, 1), 2), ("c", at(3, 1), 1)]
+    assert load(1, *first) == {"read": 6, "inserted": 4, "updated": 0, "unchanged": 0} and written == []
+    # Most of the file is new, so only what is kept is written before the merge; of a few new rows, these are written too.
+    assert load(2, ("c", at(4, 1), 5), ("d", at(4, 2), 1))["read"] == 2 and written == ["bronze_billing_usage-kept"]
+    assert load(3, *first, *first, ("d", at(5, 2), 7))["read"] == 3 and written == ["bronze_billing_usage", "bronze_billing_usage-kept"]
+    state = sorted([(r.record_id, r.usage_date.month, r.v) for r in spark.read.parquet(f"{lake.root}/facts/bronze_billing_usage").collect()], key=str)
+    here = [("a", 1, 2), ("b", 1, 1), (None, 2, 2), ("d", 5, 7)] + ([("c", 3, 1)] if moves else [("c", 3, 1), ("c", 4, 5), ("d", 4, 1)])
+    assert state == sorted(here, key=str)
+
+
+def test_moved_index_takes_the_newest_place(spark, folder):
+    row = lambda *r: spark.createDataFrame([(k, d and dt.date(2024, 1, d)) for k, d in r], "id string, part_date date")
+    index = KeyIndex(spark, f"{folder}/index", "id")
+    for rows in ([("a", 1), ("b", 1), ("c", 1), (None, 1), ("e", None)], [("a", 2), ("b", 2)], [("b", 3)]):
+        index.record(row(*rows))
+    moved = index.moved(row(("a", 2), ("b", 2), ("c", 4), (None, 5), ("d", 1), ("e", 1)))
+    assert sorted((r.id, r.part_date.day) for r in moved.collect()) == [("b", 3), ("c", 1)]
+    # Two long lists are not sorted to be compared.
+    assert "SortMergeJoin" not in _plan(moved)
+
+
+def test_dimensions_are_found_by_hashes(spark):
+    i = Inputs(spark, DATA)
+    for found, key in ((dims.discovered_workspaces(i.usage("workspace"), i.audit_raw), "workspace_id"), (dims.skus(i.usage("sku", "workspace")), "sku_name"),
+                       (dims.billing_users(i.usage("user")), "user_id"), (dims.audit_users(i.audit_raw), "user_id")):
+        assert f"HashAggregate(keys=[{key}" in _plan(found)
+
+
+def test_settings_for_bounded_sorts_are_taken_back(spark):
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = [spark.conf.get(n, None) for n in names]
+    assert tables.bounded_sorts(spark, 5) == {}
+    with tables.settings(spark, tables.bounded_sorts(spark, 100 * tables.SORTED_ROWS)):
+        assert [spark.conf.get(n) for n in names] == ["200", "200"]
+    assert [spark.conf.get(n, None) for n in names] == before
