@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import broadcast_if_small
 from ledgerline.operators.merge import dedup_latest
 from ledgerline.operators.quality import duplicates, failing, run_checks
 from ledgerline.plans import anomalies, dims, facts, gold
@@ -235,7 +236,10 @@ class DailyBatch:
         key = ["sku_name", "cloud", "price_start_time"]
         before, after = facts.price_list(stored), facts.price_list(self.src.prices)
         changed = after.exceptAll(before)
-        periods = changed.unionByName(before.join(changed.select(*key), key, "left_semi")).alias("p")
+        periods = changed.unionByName(before.join(changed.select(*key), key, "left_semi"))
+        # Found once and counted, so that usage, of which all sales of an article meet, is not shuffled to a short list.
+        periods = write_rows(periods.select(*key, "price_end_time").distinct(), f"{self.lake.root}/staging/{USAGE}-repriced-{self.batch}")
+        periods = broadcast_if_small(periods)[0].alias("p")
         start, end, at = F.col("p.price_start_time"), F.col("p.price_end_time"), F.col("u.usage_start_time")
         on = (F.col("u.sku_name") == F.col("p.sku_name")) & (F.col("u.cloud") == F.col("p.cloud"))
         on = on & (at >= start) & (end.isNull() | (at < end))
@@ -368,6 +372,6 @@ class DailyBatch:
             advance_watermark(self.lake, f"ingest_{table}", table, column, top, self.now)
         self.work.forget(LISTED)
         for table in (USAGE, AUDIT):
-            for kind in ("", "kept-", "repeated-", "moved-"):
+            for kind in ("", "kept-", "repeated-", "moved-", "repriced-"):
                 delete_path(self.spark, f"{self.lake.root}/staging/{table}-{kind}{self.batch}")
         return done

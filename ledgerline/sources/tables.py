@@ -29,8 +29,8 @@ _HISTORY = (
 MAX_LISTED_PARTITIONS = 10_000
 #: Up to so many partitions are written by each task as its rows come; for more, rows are first dealt by partition.
 OPEN_FILES = 16
-#: Keys that are sent to all tasks, to tell rows that stay from rows that are replaced.
-BROADCAST_KEYS = 100_000
+#: Keys that are sent to all tasks, to tell rows that stay from rows that are replaced: some 60 MB as a hash table.
+BROADCAST_KEYS = 500_000
 #: Whole rows that a task sorts, about: larger sorts go to disk.
 SORTED_ROWS = 1_000_000
 
@@ -302,16 +302,19 @@ def bounded_sorts(spark: SparkSession, rows: int) -> dict[str, int]:
 
 
 def write_rows(df: DataFrame, path: str) -> DataFrame:
-    """Write rows that later jobs read several times, in files that tasks can share out; returns them as stored.
-
-    A joined side that fits into memory by parts, as found after its shuffle, is hashed, so the rows are not sorted.
-    """
-    spark, hashed = df.sparkSession, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-    with settings(spark, {hashed: spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")}):
+    """Write rows that later jobs read several times, in files that tasks can share out; returns them as stored."""
+    spark = df.sparkSession
+    with settings(spark, _hashed_joins(spark)):
         df.write.option("maxRecordsPerFile", SORTED_ROWS).parquet(path)
     return spark.read.parquet(path)
 
 
+def _hashed_joins(spark: SparkSession) -> dict[str, str]:
+    """A joined side that fits into memory by parts, as found after its shuffle, is hashed, so whole rows are not sorted."""
+    advised = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    return {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": advised}
+
+
 def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None = None, values: list | None = None) -> None:
     """Swap in the partitions that ``df`` has rows for; of ``parts``, those that it has none for are removed.
 
@@ -325,7 +328,7 @@ def _overwrite(df: DataFrame, path: str, partition: str, parts: DataFrame | None
         folder = f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}"
         held[folder] = next(iter(_file_names(spark, folder)), None)
     few = values is not None and len(values) <= OPEN_FILES
-    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES if few else 0}):
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES if few else 0, **_hashed_joins(spark)}):
         (df if few else df.hint("rebalance", partition)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for folder, name in held.items():

@@ -524,3 +524,18 @@ def test_settings_for_bounded_sorts_are_taken_back(spark):
     with tables.settings(spark, tables.bounded_sorts(spark, 100 * tables.SORTED_ROWS)):
         assert [spark.conf.get(n) for n in names] == ["200", "200"]
     assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_usage_is_not_shuffled_to_a_short_list_of_new_prices(spark, lake):
+    i = Inputs(spark, DATA)
+    hit = (F.year("price_start_time") == 1997) & (F.col("cloud") == "AWS")
+    price = F.col("pricing")["default"]
+    dearer = i.prices.withColumn("pricing", F.when(hit, F.col("pricing").withField("effective_list.default", price + 1)).otherwise(F.col("pricing")))
+    batch = DailyBatch(lake, Sources(None, dearer, None), NOW, grain="year")
+    usage = batch._part(i.usage("sku", "workspace"), "usage_date")
+    # No side is small by the plan's own estimate, as where the prices come out of a large table.
+    with tables.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": -1}):
+        found = batch._repriced(i.prices, usage)
+        plan = _plan(found)
+        assert "BroadcastHashJoin [sku_name" in plan and "SortMergeJoin [sku_name" not in plan
+        assert [str(r.part_date) for r in found.collect()] == ["1997-01-01"]
